@@ -157,6 +157,7 @@ def _simple(name: str) -> str:
 _TITLE_LIKE = sorted({t for t in TITLES if len(t) >= 4})
 
 
+@lru_cache(maxsize=200_000)
 def parse(name: str) -> dict:
     """The parts of one spelling.
 
@@ -225,16 +226,15 @@ def _keys(p: dict) -> list[str]:
     return keys
 
 
-_PARSED = "book_id string, name string, kind string, title string, gender string, given string, how string, middle string, sur string, words string, low string, keys array<string>"
+_PARSED = "book_id string, name string, kind string, title string, gender string, given string, how string, middle string, sur string, same string, keys array<string>"
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        names = b.column(1).to_pylist()
-        parsed = [parse(n) for n in names]
-        cols = [pa.array([p[c] for p in parsed], pa.string()) for c in ("kind", "title", "gender", "given", "how", "middle", "sur", "words")]
-        low = pa.array([_simple(canonical_texts([n])[0]) for n in names], pa.string())
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, low, pa.array([_keys(p) for p in parsed], pa.list_(pa.string()))], [x.split()[0] for x in _PARSED.split(", ")])
+        parsed = [parse(n) for n in b.column(1).to_pylist()]
+        cols = [pa.array([p[c] for p in parsed], pa.string()) for c in ("kind", "title", "gender", "given", "how", "middle", "sur")]
+        same = pa.array(["|".join(p[c] for c in ("kind", "title", "given", "middle", "sur", "words")) for p in parsed], pa.string())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, same, pa.array([_keys(p) for p in parsed], pa.list_(pa.string()))], [x.split()[0] for x in _PARSED.split(", ")])
 
 
 def _same_entity(a: dict, b: dict) -> bool:
@@ -293,21 +293,19 @@ def _fit(p: dict, f: dict, titles: list[str], middles: list[str], gender: str) -
     return rank
 
 
-_PART = ("kind", "title", "gender", "given", "how", "middle", "sur", "words")
-
-
 def _pairs_alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keep the pairs (book_id, x, y) of full names that agree. Names travel as strings and are parsed here, each once a task."""
     for b in batches:
-        rows = b.to_pylist()
-        keep = [r for r in rows if _same_entity(r["a"], r["b"])]
-        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in keep], pa.string()) for c in ("book_id", "x", "y")], ["book_id", "x", "y"])
+        keep = [_same_entity(parse(x), parse(y)) for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+        yield b.filter(pa.array(keep, pa.bool_()))
 
 
 def _fits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = [(r["book_id"], r["name"], r["entity"], k) for r in b.to_pylist() if (k := _fit(r["a"], r["b"], r["titles"] or [], r["middles"] or [], r["known_gender"] or "")) >= 0]
-        cols = list(zip(*out)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols[:3]), pa.array(cols[3], pa.int32())], ["book_id", "name", "entity", "fit"])
+        rows = zip(*(b.column(i).to_pylist() for i in (1, 3, 4, 5, 6)))
+        fit = [_fit(parse(name), parse(full), titles or [], middles or [], gender or "") for name, full, titles, middles, gender in rows]
+        out = pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(fit, pa.int32())], ["book_id", "name", "entity", "fit"])
+        yield out.filter(pa.array([k >= 0 for k in fit], pa.bool_()))
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -339,15 +337,14 @@ def name_entities(roster: DataFrame, segments: DataFrame) -> DataFrame:
     listed = entries.select("book_id", "character_id", F.explode(F.array_append(F.coalesce("aliases", F.array().cast("array<string>")), F.col("name"))).alias("name")).where("name is not null")
     spoken = segments.where("book_id is not null and speaker is not null").select("book_id", F.col("speaker").alias("name")).distinct()
     real = ~F.trim("name").isin(*NO_NAMES) & F.col("name").rlike(r"\p{L}")
-    names = listed.select("book_id", "name").union(spoken).where(real).distinct()
+    listed = materialize(listed.where(real).distinct(), "p4-listed")
+    names = listed.select("book_id", "name").union(spoken.where(real)).distinct()
     parsed = materialize(names.mapInArrow(_parse_batches, _PARSED), "p4-names")
-    listed = listed.where(real).distinct()
 
     # 1. full names: links inside blocks, and inside roster entries
-    part = lambda p: F.struct(*[F.col(f"{p}.{c}") for c in _PART])
     core = parsed.where("kind in ('full', 'org')")
-    by_key = core.select("book_id", "name", F.struct(*_PART).alias("s"), F.explode("keys").alias("key")).where(~F.col("key").startswith("g:") & ~F.col("key").startswith("a:"))
-    met = by_key.alias("l").join(by_key.alias("r"), ["book_id", "key"]).where("l.name < r.name").select("book_id", F.col("l.name").alias("x"), F.col("r.name").alias("y"), F.col("l.s").alias("a"), F.col("r.s").alias("b")).dropDuplicates(["book_id", "x", "y"])
+    by_key = core.select("book_id", "name", F.explode("keys").alias("key")).where(~F.col("key").startswith("g:") & ~F.col("key").startswith("a:"))
+    met = by_key.alias("l").join(by_key.alias("r"), ["book_id", "key"]).where("l.name < r.name").select("book_id", F.col("l.name").alias("x"), F.col("r.name").alias("y")).distinct()
     links = met.mapInArrow(_pairs_alike, "book_id string, x string, y string")
     full_of = listed.join(core.select("book_id", "name"), ["book_id", "name"])
     head = full_of.groupBy("book_id", "character_id").agg(F.min("name").alias("x"))
@@ -363,10 +360,12 @@ def name_entities(roster: DataFrame, segments: DataFrame) -> DataFrame:
     genders = core.where("gender <> ''").groupBy("given").agg(F.mode("gender").alias("known_gender"))
 
     # 2. every other spelling joins the one entity it fits best
-    whole = told.join(facts, ["book_id", "entity"], "left").join(genders, "given", "left").select("book_id", "entity", F.struct(*_PART).alias("b"), "titles", "middles", "known_gender", F.explode("keys").alias("key"))
+    whole = told.select("book_id", "entity", F.col("name").alias("full"), F.explode("keys").alias("key"))
     rest = parsed.where("kind in ('part', 'acro')")
-    tried = rest.select("book_id", "name", F.struct(*_PART).alias("a"), F.explode("keys").alias("key")).join(whole, ["book_id", "key"]).select("book_id", "name", "entity", "a", "b", "titles", "middles", "known_gender").distinct()
-    fits = materialize(tried.mapInArrow(_fits, "book_id string, name string, entity string, fit int").groupBy("book_id", "name", "entity").agg(F.min("fit").alias("fit")), "p4-fits")
+    tried = rest.select("book_id", "name", F.explode("keys").alias("key")).join(whole, ["book_id", "key"]).select("book_id", "name", "entity", "full").distinct()
+    known = told.select("book_id", "entity", F.col("name").alias("full"), "given").join(genders, "given", "left").join(facts, ["book_id", "entity"], "left").select("book_id", "full", "titles", "middles", "known_gender")
+    asked = tried.join(known, ["book_id", "full"]).select("book_id", "name", "entity", "full", "titles", "middles", "known_gender")
+    fits = materialize(asked.mapInArrow(_fits, "book_id string, name string, entity string, fit int").groupBy("book_id", "name", "entity").agg(F.min("fit").alias("fit")), "p4-fits")
     best = fits.groupBy("book_id", "name").agg(F.min_by("entity", "fit").alias("entity"), F.min("fit").alias("fit")).join(fits.groupBy("book_id", "name", "fit").agg(F.count("*").alias("n")), ["book_id", "name", "fit"])
     joined = best.where("n = 1").select("book_id", "name", "entity")
 
@@ -376,7 +375,7 @@ def name_entities(roster: DataFrame, segments: DataFrame) -> DataFrame:
     lost_of = listed.join(lost.select("book_id", "name"), ["book_id", "name"])
     home = listed.join(placed, ["book_id", "name"]).groupBy("book_id", "character_id").agg(F.min("entity").alias("entity"), F.countDistinct("entity").alias("n")).where("n = 1")
     homed = lost_of.join(home, ["book_id", "character_id"]).groupBy("book_id", "name").agg(F.min("entity").alias("entity"), F.countDistinct("entity").alias("n")).where("n = 1").select("book_id", "name", "entity")
-    lone = lost.join(homed, ["book_id", "name"], "left_anti").select("book_id", "name", F.concat_ws("|", "kind", "title", "given", "middle", "sur", "words").alias("same"))
+    lone = lost.join(homed, ["book_id", "name"], "left_anti").select("book_id", "name", "same")
     heads = lone.groupBy("book_id", "same").agg(F.min("name").alias("x"))
     same_links = lone.join(heads, ["book_id", "same"]).select("book_id", "x", F.col("name").alias("y"))
     lone_of = listed.join(lone.select("book_id", "name"), ["book_id", "name"])
