@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 VERSION = "1.0.0"
 
 
+def _json(x: Column | str) -> Column:
+    """JSON with its nulls, which readers of the documents expect."""
+    return F.to_json(x, {"ignoreNullFields": "false"})
+
+
 def remapped_speakers(segs: DataFrame, aliases: DataFrame, key: str) -> DataFrame:
     """``segs`` with speakers as the roster's names; a speaker it does not know is ``Unknown``.
 
@@ -57,15 +62,15 @@ def documents(books: DataFrame, chaps: DataFrame, segs: DataFrame, roster: DataF
             F.struct("chapter_number", F.col("title").alias("chapter_title"), "segments", "word_count", F.lit(False).alias("is_segment"), F.lit(1).alias("total_segments")).alias("processed"),
         ).alias("c"),
     )
-    chapters = chapter.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("chapter_number", F.to_json("c").alias("j")))), lambda x: x["j"]).alias("chapters"))
-    people = roster.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.struct("name", "aliases", "pronunciation_hints", "first_appearance_chapter").alias("p")))), lambda x: F.to_json(x["p"])).alias("characters"))
+    chapters = chapter.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("chapter_number", _json("c").alias("j")))), lambda x: x["j"]).alias("chapters"))
+    people = roster.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.struct("name", "aliases", "pronunciation_hints", "first_appearance_chapter").alias("p")))), lambda x: _json(x["p"])).alias("characters"))
     b = books.select(key, F.struct("title", "author", F.col("book_lang").alias("language"), "gutenberg_id", "release_date", "credits").alias("metadata"))
     joined = b.join(chapters, key).join(people, key, "left").join(stats, key, "left")
     facts = F.struct("total_chapters", "total_words", "total_segments", "total_characters", F.lit(VERSION).alias("pipeline_version"), F.struct("avg_confidence", "min_confidence").alias("discovery_confidence"))
-    conf = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in (config or {"chunk_size": 1000, "chunk_overlap": 150}).items()]))
+    conf = _json(F.struct(*[F.lit(v).alias(k) for k, v in (config or {"chunk_size": 1000, "chunk_overlap": 150}).items()]))
     body = F.concat(
-        F.lit('{"metadata":'), F.to_json("metadata"), F.lit(',"chapters":['), F.array_join("chapters", ","), F.lit('],"characters":['),
-        F.array_join(F.coalesce("characters", F.array().cast("array<string>")), ","), F.lit('],"statistics":'), F.to_json(facts), F.lit(',"processing_config":'), conf, F.lit("}"),
+        F.lit('{"metadata":'), _json("metadata"), F.lit(',"chapters":['), F.array_join("chapters", ","), F.lit('],"characters":['),
+        F.array_join(F.coalesce("characters", F.array().cast("array<string>")), ","), F.lit('],"statistics":'), _json(facts), F.lit(',"processing_config":'), conf, F.lit("}"),
     )
     return joined.select(key, body.alias("document"))
 

@@ -82,8 +82,8 @@ class BookSource(DataSource):
 def read_books(spark: SparkSession, path: str) -> DataFrame:
     """(book_id, text) of the text files of a folder; the id is the file's name. Line ends become line feeds."""
     raw = spark.read.format("binaryFile").load(path)
-    text = F.coalesce(F.try_validate_utf8(F.decode("content", "UTF-8")), F.decode("content", "ISO-8859-1"))
-    strict = F.when(F.expr("is_valid_utf8(content)"), F.decode("content", "UTF-8")).otherwise(text)
+    plain = F.col("content").cast("string")
+    strict = F.when(F.is_valid_utf8(plain), plain).otherwise(F.decode("content", "ISO-8859-1"))
     return raw.select(F.regexp_extract("path", r"([^/]+?)(?:\.txt)?$", 1).alias("book_id"), F.regexp_replace(F.ltrim(strict, F.lit("\ufeff")), "\r\n?", "\n").alias("text"))
 
 
