@@ -243,16 +243,18 @@ def containers(segments: DataFrame, configs: DataFrame) -> DataFrame:
     items = rows.select("book_id", "chapter_number", "segment_id", "text", "chunk_size", "size_unit").mapInArrow(_items, _ITEM_DDL)
     chapter = ["book_id", "chapter_number"]
     cells = rows.groupBy(*chapter).count().where(F.col("count") > BLOCK).select(*chapter)
-    # only chapters beyond a block need the histogram; usually there is none, and the adaptive plan drops these joins
-    hot = items.join(cells, chapter, "left_semi").groupBy(*chapter, (F.col("curve") / (1 << 15)).cast("int").alias("cell")).agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy(*chapter).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = hot.select(*chapter, "cell", (F.coalesce(before, F.lit(0)) / BLOCK).cast("int").alias("first"), F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    blocked = (
-        items.withColumn("cell", (F.col("curve") / (1 << 15)).cast("int"))
-        .join(blocks, [*chapter, "cell"], "left")
-        .withColumn("block", F.coalesce(F.col("first") + F.pmod(F.xxhash64("segment_id"), F.col("parts")).cast("int"), F.lit(0)))
-        .drop("cell", "first", "parts")
-    )
+    if cells.isEmpty():  # usually no chapter is larger than a block
+        blocked = items.withColumn("block", F.lit(0))
+    else:
+        hot = items.join(cells, chapter, "left_semi").groupBy(*chapter, (F.col("curve") / (1 << 15)).cast("int").alias("cell")).agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.partitionBy(*chapter).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+        blocks = hot.select(*chapter, "cell", (F.coalesce(before, F.lit(0)) / BLOCK).cast("int").alias("first"), F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+        blocked = (
+            items.withColumn("cell", (F.col("curve") / (1 << 15)).cast("int"))
+            .join(blocks, [*chapter, "cell"], "left")
+            .withColumn("block", F.coalesce(F.col("first") + F.pmod(F.xxhash64("segment_id"), F.col("parts")).cast("int"), F.lit(0)))
+            .drop("cell", "first", "parts")
+        )
     placed = blocked.repartition(*chapter, "block").sortWithinPartitions(*chapter, "block", "capacity", "curve", "segment_id", "piece_no")
     return placed.mapInArrow(_pack_sorted, _OUT_DDL)
 
