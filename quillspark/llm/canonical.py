@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.tables import table
+from quillspark.llm.tables import slices, table
 from quillspark.storage import materialize
 
 # Letters of other scripts that look like a Latin letter.
@@ -205,7 +205,7 @@ def _plain_ascii(x: str) -> str:
 
 
 def _map_form(batches: Iterator[pa.RecordBatch], column: str, to: str) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches, 4000):
         form = pa.array(canonical_texts(b.column(b.schema.get_field_index(column)).to_pylist()), pa.string())
         yield pa.RecordBatch.from_arrays([*b.columns, form], [*b.schema.names, to])
 
@@ -224,7 +224,7 @@ def canonical_form(df: DataFrame, text: str = "text", to: str = "form") -> DataF
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """segment_id, book_id, digest of the form (two longs), digest of the stored text."""
-    for b in batches:
+    for b in slices(batches, 4000):
         raw = b.column(2).to_pylist()
         forms = canonical_texts(raw)
         keep = np.array([bool(x) and not x.isspace() and f is not None and bool(f.strip()) for x, f in zip(raw, forms)], bool)

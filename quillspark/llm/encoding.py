@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm.tables import table
+from quillspark.llm.tables import slices, table
 
 TOKENIZER = "byte_bpe_50k"
 #: Words that a task remembers with their ids.
@@ -109,7 +109,7 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], path: str, pattern: str)
     encoder = WordEncoder(path)
     known: dict[str, int] = {}
     ids: list[np.ndarray] = []
-    for b in batches:
+    for b in slices(batches):
         docs = [split(t) if t else [] for t in b.column(1).to_pylist()]
         if len(known) > REMEMBERED:
             known.clear()

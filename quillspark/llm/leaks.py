@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.canonical import canonical_texts
-from quillspark.llm.tables import table
+from quillspark.llm.tables import slices, table
 from quillspark.storage import materialize
 
 LEAST_WORDS, ONE_IN = 15, 8
@@ -201,7 +201,7 @@ class Index:
 
 def _search_batches(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
     get = index.code.get
-    for b in batches:
+    for b in slices(batches):
         docs, found = [], []
         for doc, words in zip(b.column(0).to_pylist(), word_lists(b.column(1).to_pylist())):
             hits = index.search(np.array([get(w, 0) for w in words], np.int64)) if len(words) >= LEAST_WORDS else []

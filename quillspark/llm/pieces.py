@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.sentences import plain_sentences
-from quillspark.llm.tables import table
+from quillspark.llm.tables import slices, table
 
 DEFAULT_SIZE, DEFAULT_OVERLAP, DEFAULT_UNIT = 1000, 150, "word"
 _PARAGRAPH = re.compile(r"(?:\r\n|\r|\n)[^\S\r\n]*(?:\r\n|\r|\n)\s*")
@@ -105,7 +105,7 @@ def with_sizes(segments: DataFrame, configs: DataFrame) -> DataFrame:
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch], with_text: bool, only_cut: bool) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         cols: tuple[list, ...] = ([], [], [], [], [], [])
         for seg, text, limit, overlap, unit in zip(*(c.to_pylist() for c in b.columns)):
             if not text or only_cut and len(text) <= limit:

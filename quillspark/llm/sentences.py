@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.canonical import LOOK_ALIKES
-from quillspark.llm.tables import table
+from quillspark.llm.tables import slices, table
 from quillspark.storage import materialize
 
 # The last resort, for tokens that neither book nor corpus shows often enough.
@@ -275,7 +275,7 @@ def _evidence_rows(mid: Counter, opens: Counter) -> pa.RecordBatch:
 def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     mid: Counter = Counter()
     opens: Counter = Counter()
-    for b in batches:
+    for b in slices(batches):
         ids, books, out = [], [], [[], [], [], [], []]
         for seg, book, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
             if not text or text.isspace():

@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 
 from quillspark.llm.canonical import canonical_texts
 from quillspark.llm.sentences import plain_sentences
-from quillspark.llm.tables import table
+from quillspark.llm.tables import slices, table
 from quillspark.storage import materialize
 
 #: Share of a document's sentences from which it has a subject.
@@ -69,7 +69,7 @@ def terms_of(text: str) -> list[str]:
 
 def _sentence_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.list_(pa.string()))
-    for b in batches:
+    for b in slices(batches):
         texts = b.column(1).to_pylist()
         out = []
         for raw, form in zip(texts, canonical_texts(texts)):
@@ -104,42 +104,42 @@ def _lexicons(b: pa.RecordBatch, lexicon: dict[str, str] | None) -> Iterator[dic
 def _carry_batches(batches: Iterator[pa.RecordBatch], lexicon: dict[str, str] | None, subjects: list[str]) -> Iterator[pa.RecordBatch]:
     """Per term: for each subject the sum of the shares of its documents' other terms, the documents that have such terms, all its documents."""
     number = {s: i for i, s in enumerate(subjects)}
-    total: dict[str, np.ndarray] = {}
     width = len(subjects) + 2
+    index: dict[str, int] = {}
+    total = np.zeros((1 << 12, width))
 
     def rows() -> pa.RecordBatch:
-        terms = list(total)
-        sums = np.stack([total[t] for t in terms])
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(terms) + 1, dtype=np.int32) * width), pa.array(sums.ravel()))
-        total.clear()
-        return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), lists], ["term", "sums"])
-
-    for b in batches:
-        for sentences, lex in zip(b.column(1).to_pylist(), _lexicons(b, lexicon)):
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(index) + 1, dtype=np.int32) * width), pa.array(total[: len(index)].ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(list(index), pa.string()), lists], ["term", "sums"])
+
+    for b in slices(batches):
+        # one row per document and term: document, term, subject of the term, occurrences
+        doc, term, own, times = [], [], [], []
+        for d, (sentences, lex) in enumerate(zip(b.column(1).to_pylist(), _lexicons(b, lexicon))):
             counts = Counter(t for s in sentences or [] for t in s)
-            hits = np.zeros(len(subjects))
-            own = {}
-            for t, n in counts.items():
-                k = number.get(lex.get(t, ""))
-                if k is not None:
-                    own[t] = (k, n)
-                    hits[k] += n
-            for t in counts:
-                row = total.get(t)
-                if row is None:
-                    row = total[t] = np.zeros(width)
-                row[-1] += 1
-                h = hits
-                if t in own:
-                    h = hits.copy()
-                    h[own[t][0]] -= own[t][1]
-                s = h.sum()
-                if s >= 2:
-                    row[:-2] += h / s
-                    row[-2] += 1
-        if len(total) > 200_000:
+            doc += [d] * len(counts)
+            term += [index.setdefault(t, len(index)) for t in counts]
+            own += [number.get(lex.get(t, ""), -1) for t in counts]
+            times += counts.values()
+        if not term:
+            continue
+        d, t, k, n = np.array(doc), np.array(term), np.array(own), np.array(times, float)
+        has = k >= 0
+        hits = np.zeros((b.num_rows, len(subjects)))
+        np.add.at(hits, (d[has], k[has]), n[has])
+        others = hits[d]  # a term's own occurrences are no evidence for it
+        others[np.flatnonzero(has), k[has]] -= n[has]
+        seen = others.sum(1)
+        told = seen >= 2
+        part = np.concatenate([np.where(told[:, None], others / np.maximum(seen, 1)[:, None], 0), told[:, None], np.ones((len(t), 1))], 1)
+        if len(index) > len(total):
+            total = np.concatenate([total, np.zeros((max(len(total), len(index)), width))])
+        np.add.at(total, t, part)
+        if len(index) > 200_000:
             yield rows()
-    if total:
+            index.clear()
+            total[:] = 0
+    if index:
         yield rows()
 
 
@@ -174,7 +174,7 @@ def carried_lexicon(docs: DataFrame, examples: DataFrame, subjects: list[str]) -
 
 
 def _judge_batches(batches: Iterator[pa.RecordBatch], lexicon: dict[str, str] | None) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in slices(batches):
         ids, found = [], []
         for doc, sentences, lex in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _lexicons(b, lexicon)):
             treats: Counter = Counter()
