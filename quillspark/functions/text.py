@@ -114,11 +114,10 @@ def sentences(x: Column) -> Column:
 
 def _joined(parts: Column) -> Column:
     def mark(p: Column, i: Column) -> Column:
-        token = F.regexp_extract(p, P.LAST_TOKEN, 1)
-        word = F.lower(F.regexp_replace(token, r"^[“‘\"'(\[]+|[.!?…”’\"')\]]+$", ""))
-        dotted = F.regexp_extract(p, P.LAST_TOKEN, 2) == "."
-        veto = dotted & (word.isin(P.ABBREVIATIONS) | word.rlike(r"^\p{L}$")) | F.coalesce(F.get(parts, i + 1), F.lit("")).rlike(r"^\p{Ll}")
-        return F.concat(p, F.when(veto, "").otherwise("\x02"))
+        # an abbreviation is short, so the end of the piece is enough to see one
+        held = F.right(p, F.lit(64)).rlike(P.HELD_PERIOD)
+        small = F.coalesce(F.get(parts, i + 1), F.lit("")).rlike(r"^\p{Ll}")
+        return F.concat(p, F.when(small | held, "").otherwise("\x02"))
 
     return F.array_join(F.transform(parts, mark), "")
 

@@ -17,18 +17,18 @@ _HEAD = """array(concat('Title: Document ', doc_id), concat('Author: ', source),
   concat('*** START OF THE PROJECT ARCHIVE EBOOK ', doc_id, ' ***'), '', 'CHAPTER 1', 'CHAPTER 2', 'CHAPTER 3', '',
   'DEDICATION', '', 'To someone dear.', '')"""
 _NAME = "element_at(array('Lucy', 'Mr. Bennet', 'Captain Ahab', 'Miss Bartlett', 'Mrs. Long'), cast((doc_id + i) % 5 + 1 as int))"
-_EXPANDED = f"""flatten(transform(split(body, '\\n'), (t, i) -> concat(
+_EXPANDED = f"""flatten(transform(ls, (t, i) -> concat(
   if(i = 0, {_HEAD}, array()),
   if(i % 5 = 0, array(concat('CHAPTER ', cast(i div 5 + 1 as string)), ''), array()),
   if(trim(t) = '', array(), array(case i % 4 when 0 then t when 1 then concat('“', t, '” said ', {_NAME}, ',')
      when 2 then concat('“', t, '” replied ', {_NAME}, '.') else concat({_NAME}, ' continued: “', t) end, '')),
-  if(i = size(split(body, '\\n')) - 1, array('FOOTNOTES:', '', concat('1. ', source), concat('*** END OF THE PROJECT ARCHIVE EBOOK ', doc_id, ' ***')), array()))))"""
+  if(i = size(ls) - 1, array('FOOTNOTES:', '', concat('1. ', source), concat('*** END OF THE PROJECT ARCHIVE EBOOK ', doc_id, ' ***')), array()))))"""
 
 
 def manuscript_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, book_id, lines): one row per document with text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null")
-    plain = docs.select("doc_id", "book_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), F.regexp_replace("text", "\r\n?", "\n").alias("body"))
+    plain = docs.select("doc_id", "book_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), F.split(F.regexp_replace("text", "\r\n?", "\n"), "\n").alias("ls"))
     return plain.select("doc_id", "book_id", F.expr(_EXPANDED).alias("lines"))
 
 
