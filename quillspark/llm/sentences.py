@@ -101,8 +101,10 @@ def _is_tag(text: str, j: int, script: str, closers: str, at: int) -> bool:
     close = next((c for c in reversed(closers) if c in _CLOSE or c == "“"), "")
     if not close:
         return False
+    # what follows, however its characters are stored
+    rest = unicodedata.normalize("NFC", text[j : j + 80].translate(_DROP_INVISIBLE))
     if script in ("han", "ja"):
-        if _TAG_JA.match(text, j):
+        if _TAG_JA.match(rest):
             return True
         if script == "ja":
             return False
@@ -112,14 +114,14 @@ def _is_tag(text: str, j: int, script: str, closers: str, at: int) -> bool:
         if before and before[-1] in ":：,，،、":
             return False
     if script == "han":
-        return bool(_TAG_HAN.match(text, j))
+        return bool(_TAG_HAN.match(rest))
     if script == "ko":
-        return bool(_TAG_KO.match(text, j))
+        return bool(_TAG_KO.match(rest))
     if script == "hi":
-        return bool(_TAG_HI.match(text, j))
+        return bool(_TAG_HI.match(rest))
     if script == "ar":
-        return bool(_TAG_AR.match(text, j))
-    return script == "th" and bool(_TAG_TH.match(text, j))
+        return bool(_TAG_AR.match(rest))
+    return script == "th" and bool(_TAG_TH.match(rest))
 
 
 def _plain(word: str) -> str:
@@ -231,7 +233,7 @@ def scan(text: str) -> tuple[list[int], list[int], list[tuple[int, str, str]], l
                 m = _TOKEN.search(text, max(lo, s - 28), s)
                 if m and not script:
                     token = _plain(m.group()).strip("_*'\"")
-                    if token and not token[-1:].isdigit():
+                    if token and token[-1].isalpha():
                         w = _WORD.match(text, k)
                         word = _plain(w.group()) if w else nxt
                         if len(word) == 1 and text.startswith(".", w.end() if w else k + 1):
@@ -239,8 +241,6 @@ def scan(text: str) -> tuple[list[int], list[int], list[tuple[int, str, str]], l
                         certain = len(token) > 6 and token.isalpha() and token[0].islower()
                         if not certain:
                             open_.append((len(ends), re.sub(r"\s+", " ", token), "#" if word[0].isdigit() else word))
-                    elif token and not nxt.isupper():
-                        pass
             if certain and nxt.isupper():
                 w = _WORD.match(text, k)
                 if w and not (w.end() - k == 1 and text.startswith(".", w.end())):
@@ -333,7 +333,7 @@ def sentences(segments: DataFrame) -> DataFrame:
     by_corpus = by_book.groupBy("token").agg(F.sum("n").alias("all_n"), F.sum("c").alias("all_c"), F.sum("t").alias("all_t"))
     by_corpus = by_corpus.join(in_corpus.select(F.col("nxt").alias("token"), F.col("all_mid").alias("bare")), "token", "left")
     last = F.regexp_extract("token", r"([^ ]*)$", 1)
-    shape_ends = ~(F.lower(last).isin(*sorted(map(_plain, KNOWN_ABBREVIATIONS))) | last.rlike(r"^\p{L}$") | last.rlike(r"^[\p{L}.]*\.\p{L}$") | F.lower(last).rlike(r"^[^aeiouyàâéèêôöüäаеёиоуыэюяα-ωά-ώ]{2,4}$"))
+    shape_ends = ~(F.lower(last).isin(*sorted(map(_plain, KNOWN_ABBREVIATIONS))) | last.rlike(r"^\p{L}$") | last.rlike(r"^[\p{L}.]*\.\p{L}$") | F.lower(last).rlike(r"^(?:(?![aeiouyàâéèêôöüäаеёиоуыэюяα-ωά-ώ])\p{L}){2,4}$"))
     verdict = by_book.join(by_corpus, "token").select(
         "book_id", "token",
         F.when(F.lower("token").isin(*sorted(map(_plain, CLOSING_ABBREVIATIONS))), True)
