@@ -69,7 +69,10 @@ ORG_WORDS = {
     "corporation": "corporation", "corp": "corporation", "college": "college", "coll": "college", "university": "university", "univ": "university", "committee": "committee", "comm": "committee", "council": "council", "club": "club", "union": "union", "house": "house", "press": "press", "works": "works", "mission": "mission", "manufacturing": "manufacturing", "mfg": "manufacturing",
 }
 #: Least Jaro-Winkler similarity of two tokens that differ by a typing error.
-LEAST_SIMILAR = 0.88
+LEAST_SIMILAR = 0.8
+
+
+_FORMAL = frozenset(NICKNAMES.values())
 
 
 @lru_cache(maxsize=200_000)
@@ -246,7 +249,9 @@ def _same_entity(a: dict, b: dict) -> bool:
         return len(x) == len(y) and sum(p != q for p, q in zip(x, y)) <= 1 and all(alike(p, q) for p, q in zip(x, y))
     if a["given"] == b["given"]:
         return alike(a["sur"], b["sur"])
-    return a["sur"] == b["sur"] and alike(a["given"], b["given"])
+    if a["sur"] != b["sur"]:
+        return False
+    return alike(a["given"], b["given"]) or min(len(a["given"]), len(b["given"])) >= 3 and one_slip(a["given"], b["given"]) and not {a["given"], b["given"]} <= _FORMAL
 
 
 def _fit(p: dict, f: dict, titles: list[str], middles: list[str], gender: str) -> int:
