@@ -138,12 +138,15 @@ def rendered(flag: str = "[ASKED]", mask: bool = False) -> Column:
 
 
 def requests(segs: DataFrame, flagged: DataFrame, names: DataFrame, key: list[str], kind: str, budget: int = 1000) -> DataFrame:
-    """(key, window_id, system, user, options): one request for each window that has something to resolve."""
+    """(key, window_id, system, user, options): one request for each window that has something to resolve.
+
+    The lines to resolve are marked, but for a critic, who reads all lines alike.
+    """
     ids = Wn.segment_windows(segs, key, budget)
     asked = flagged.select(*key, "seg_idx").distinct().withColumn("flagged", F.lit(True))
     needed = ids.join(asked, [*key, "seg_idx"], "left_semi").select(*key, "window_id").distinct()
     rows = Wn.with_context(ids, key).join(needed, [*key, "window_id"], "left_semi")
-    full = rows.join(segs, [*key, "seg_idx"]).join(asked, [*key, "seg_idx"], "left").withColumn("flagged", F.coalesce("flagged", F.lit(False)) & ~F.col("is_context"))
+    full = rows.join(segs, [*key, "seg_idx"]).join(asked, [*key, "seg_idx"], "left").withColumn("flagged", F.coalesce("flagged", F.lit(False)) & ~F.col("is_context") & F.lit(kind != "critic"))
     line = full.select(*key, "window_id", "seg_idx", rendered(mask=kind in ("verify", "settle")).alias("line"))
     user = line.groupBy(*key, "window_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seg_idx", "line"))), lambda x: x["line"]), "\n").alias("user"))
     options = names.groupBy(*[k for k in key if k in names.columns]).agg(T.speaker_options(F.transform(F.array_sort(F.collect_list(F.struct("ord", "name"))), lambda x: x["name"])).alias("options"))
@@ -178,6 +181,74 @@ def answered(reqs: DataFrame, factory: Callable[[], Resolver], key: list[str], r
     return reqs.select(*key, "system", "user", "options").mapInPandas(run, f"{kinds}, seg_idx int, speaker string, ord int")
 
 
+_JUDGED = "seg_idx int, speaker string, ord int, issue string, verdict string, canonical string, quality double"
+
+
+def critiques(reqs: DataFrame, factory: Callable[[], Resolver], key: list[str]) -> DataFrame:
+    """(key, window_id, ...): what a critic says of each window, asked once; a window without an answer says nothing.
+
+    One row per correction (seg_idx, speaker, ord), per objection (issue, verdict, canonical, ord) and
+    per judged window (quality).
+    """
+    kinds = ", ".join(f"{k} {reqs.schema[k].dataType.simpleString()}" for k in [*key, "window_id"])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        resolver = factory()
+        for pdf in frames:
+            out = []
+            for r in pdf.to_dict("records"):
+                head = [*(r[k] for k in key), r["window_id"]]
+                try:
+                    got = parsed_answer(resolver.resolve(r["system"], r["user"], None))
+                    quality = float(got.get("overall_quality", 1.0))
+                except (ResolverError, TypeError, ValueError):
+                    continue
+                out.append([*head, None, None, None, None, None, None, quality])
+                for i, c in enumerate(got.get("corrections") or []):
+                    if isinstance(c, dict) and isinstance(c.get("index"), int) and c.get("speaker") in list(r["options"]):
+                        out.append([*head, c["index"], c["speaker"], i, None, None, None, None])
+                for i, c in enumerate(got.get("roster_issues") or []):
+                    if isinstance(c, dict) and c.get("name") and c.get("verdict") in VERDICTS:
+                        out.append([*head, None, None, i, c["name"], c["verdict"], c.get("canonical") or "", None])
+            yield pd.DataFrame(out, columns=[*key, "window_id", "seg_idx", "speaker", "ord", "issue", "verdict", "canonical", "quality"])
+
+    return reqs.select(*key, "window_id", "system", "user", "options").mapInPandas(run, f"{kinds}, {_JUDGED}")
+
+
+def judged(segs: DataFrame, said: DataFrame, key: list[str], budget: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of a critic's words: corrections of the windows' own segments, objections in reading order, quality per chapter."""
+    from quillspark.operators.attribution import quality
+
+    ids = Wn.segment_windows(segs, key, budget)
+    own = said.where("seg_idx is not null").join(ids, [*key, "window_id", "seg_idx"], "left_semi").select(*key, "seg_idx", "speaker", "ord")
+    issues = said.where("issue is not null").select(*key, F.col("issue").alias("name"), "verdict", "canonical", (F.col("window_id") * 10_000 + F.col("ord")).alias("ord"))
+    talk = ids.join(segs.where("seg_type = 'dialogue'").select(*key, "seg_idx"), [*key, "seg_idx"], "left_semi").groupBy(*key, "window_id").agg(F.count("*").alias("dialogue"))
+    windows = ids.select(*key, "window_id").distinct().join(talk, [*key, "window_id"], "left").join(said.where("quality is not null").select(*key, "window_id", "quality"), [*key, "window_id"], "left")
+    return own, issues, quality(windows.withColumn("dialogue", F.coalesce("dialogue", F.lit(0))), key)
+
+
+FIRST_LINES = 500
+
+
+def proposed_chapters(lines: DataFrame, factory: Callable[[], Resolver], key: str) -> DataFrame:
+    """(key, ord, title, start_line): chapters a model sees in the first lines of each book (key, at, line)."""
+    numbered = lines.where(F.col("at") < FIRST_LINES).groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "line"))), lambda x: F.concat((x["at"] + 1).cast("string"), F.lit(": "), x["line"])), "\n").alias("user"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        resolver = factory()
+        for pdf in frames:
+            out = []
+            for book, user in zip(pdf[key], pdf["user"]):
+                try:
+                    got = parsed_answer(resolver.resolve(SYSTEM["chapters"], user, None))
+                except ResolverError:
+                    continue
+                out += [(book, i, str(c.get("title") or ""), str(c.get("start_line"))) for i, c in enumerate(got.get("chapters") or []) if isinstance(c, dict)]
+            yield pd.DataFrame(out, columns=[key, "ord", "title", "start_line"])
+
+    return numbered.mapInPandas(run, f"{key} string, ord int, title string, start_line string")
+
+
 def parsed(content: Column, ddl: str) -> Column:
     """An answer's JSON as a struct; null where it is none."""
     return F.from_json(T.strip_fences(content), ddl)

@@ -2,8 +2,8 @@
 
 Chapters of all books are found, cut and attributed together. What depends on the order of
 chapters is the roster only; it is folded per book. With a critic the chapters of a book would
-have to wait for each other; here the critic judges all chapters and its objections are applied
-once to the final roster, and its corrections to the segments.
+have to wait for each other; here the critic judges all chapters at once, its objections are
+applied in reading order to the last roster, and its corrections to the segments.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quillspark.functions import text as T
 from quillspark.operators import assemble as Z
@@ -23,12 +24,13 @@ from quillspark.operators import structure as S
 from quillspark.operators import windows as W
 from quillspark.plans.config import Config
 from quillspark.sources import books as B
+from quillspark.storage import materialize
 
 KEY = ["book_id", "chapter_number"]
 EMPTY_ROSTER = "book_id string, chapter_number int, ord int, name string, aliases array<string>, pronunciation_hints array<string>, first_appearance_chapter int"
 
 
-def discover(texts: DataFrame, config: Config) -> tuple[DataFrame, DataFrame, DataFrame]:
+def discover(texts: DataFrame, config: Config, factory: Callable[[], R.Resolver] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Lines, metadata and chapters of books (book_id, text)."""
     lines = S.explode_lines(texts, "book_id")
     bounds = S.body_bounds(lines, "book_id")
@@ -39,10 +41,18 @@ def discover(texts: DataFrame, config: Config) -> tuple[DataFrame, DataFrame, Da
     ends = heads.groupBy("book_id").agg((F.min("start_line") - 1).alias("end_line"))
     first = first.join(ends, "book_id", "left").withColumn("end_line", F.coalesce("end_line", "body_end")).drop("body_end")
     both = heads.unionByName(first)
+    if factory is not None:
+        # where headings give fewer than two chapters, what a model proposes takes their place
+        few = bounds.select("book_id").join(both.groupBy("book_id").count().where("count >= 2").select("book_id"), "book_id", "left_anti")
+        body = S.body_lines(lines, "book_id").join(few, "book_id", "left_semi")
+        sizes = bounds.select("book_id", "body_start", "body_end", (F.col("body_end") - F.col("body_start")).alias("n"))
+        proposed = R.proposed_chapters(body, factory, "book_id").join(sizes, "book_id")
+        valid = S.validated_chapters(proposed, "book_id", F.col("n"), config.include_front_matter, config.include_back_matter).join(sizes, "book_id")
+        nxt = F.lead("start_line").over(Window.partitionBy("book_id").orderBy("number"))
+        model = valid.select("book_id", "number", "title", "kind", (F.col("start_line") + F.col("body_start")).alias("start_line"), (F.coalesce(nxt - 1, F.col("n")) + F.col("body_start")).cast("int").alias("end_line"))
+        both = both.join(model.select("book_id").distinct(), "book_id", "left_anti").unionByName(model)
     # a book in which nothing was found is one chapter
     whole = bounds.join(both.select("book_id").distinct(), "book_id", "left_anti").select("book_id", F.lit(0).alias("number"), F.lit("Chapter 1").alias("title"), F.lit("body").alias("kind"), (F.col("body_start") + 1).alias("start_line"), F.col("body_end").alias("end_line"))
-    from pyspark.sql.window import Window
-
     numbered = both.unionByName(whole).withColumn("number", F.row_number().over(Window.partitionBy("book_id").orderBy("number")))
     return lines, meta, numbered
 
@@ -76,15 +86,16 @@ def discovered_characters(texts: DataFrame, factory: Callable[[], R.Resolver], r
 def attribute(segs: DataFrame, roster: DataFrame, factory: Callable[[], R.Resolver] | None, config: Config) -> DataFrame:
     """Speakers: tags first, then the passes of a resolver where one is given; the rest is ``Unknown``."""
     amap = A.map_of_aliases(A.alias_map(roster, "book_id"), "book_id")
-    said = A.anchors(segs.join(amap, "book_id", "left"), KEY).withColumn("speaker", F.col("anchor"))
+    said = materialize(A.anchors(segs.join(amap, "book_id", "left"), KEY).withColumn("speaker", F.col("anchor")), "anchored")
     if factory is not None:
-        names = roster.where("name is not null").select("book_id", "ord", "name").unionByName(O.missed_names(said, roster, "book_id").select("book_id", F.lit(1_000_000).alias("ord"), "name"))
+        names = materialize(roster.where("name is not null").select("book_id", "ord", "name").unionByName(O.missed_names(said, roster, "book_id").select("book_id", F.lit(1_000_000).alias("ord"), "name")), "names")
         told = G.with_neighbours(said, KEY)
         tags = A.nameless_tags(told)
         answers = R.answered(R.requests(told, tags, names, KEY, "tags", config.chunk_size), factory, KEY, config.max_retries)
-        told = A.spread_tag_answers(told, A.kept_answers(answers, tags, KEY).withColumn("ord", F.lit(0)), KEY)
+        told = materialize(A.spread_tag_answers(told, A.kept_answers(answers, tags, KEY).withColumn("ord", F.lit(0)), KEY), "tagged")
         asked = A.unresolved(told)
-        ask = lambda kind, rows: A.kept_answers(R.answered(R.requests(told, rows, names, KEY, kind, config.chunk_size), factory, KEY, config.max_retries), rows, KEY)
+        # a pass is asked once: its answers are a table before anything is compared
+        ask = lambda kind, rows: materialize(A.kept_answers(R.answered(R.requests(told, rows, names, KEY, kind, config.chunk_size), factory, KEY, config.max_retries), rows, KEY), kind)
         a, b = ask("attribute", asked), ask("verify", asked)
         differ = a.alias("a").join(b.alias("b"), [*KEY, "seg_idx"]).where("a.speaker <> b.speaker").select(*KEY, "seg_idx")
         settled = A.reconcile(a, b, ask("settle", differ), asked, KEY).select(*KEY, "seg_idx", F.col("speaker").alias("settled"))
@@ -102,23 +113,35 @@ def run(texts: DataFrame, config: Config, factory: Callable[[], R.Resolver] | No
             B.write_stage(df, path)
         return spark.read.parquet(path)
 
-    lines, meta, heads = discover(texts, config)
+    lines, meta, heads = discover(texts, config, factory)
     meta, heads = stage(2, "metadata", meta), stage(2, "chapters", heads)
     if config.chapters_only:
         heads = heads.where(F.col("number").isin(config.chapters_only))
     body = stage(3, "texts", S.chapter_texts(lines, heads, "book_id").withColumnRenamed("number", "chapter_number")).where(T.strip(F.col("text")) != "")
     found = discovered_characters(body.select(*KEY, "text"), factory, config.max_retries) if factory else spark.createDataFrame([], EMPTY_ROSTER)
     found = stage(4, "found", found)
-    segs = G.segments(body.withColumn("k", F.struct(*KEY)).select("k", "text"), "k").select("k.*", "seg_idx", "para", "seg_type", "text", "notes")
+    segs = materialize(G.segments(body.withColumn("k", F.struct(*KEY)).select("k", "text"), "k").select("k.*", "seg_idx", "para", "seg_type", "text", "notes"), "segments")
     first = A.anchors(segs.withColumn("amap", F.expr("cast(map() as map<string, string>)")), KEY)
     rolling = stage(5, "rosters", O.rolling_rosters(found, first, "book_id"))
     last = rolling.groupBy("book_id").agg(F.max("chapter_number").alias("chapter_number"))
     roster = rolling.join(last, KEY, "left_semi")
     done = stage(5, "segments", attribute(segs, roster, factory, config).withColumn("pronunciation_hints", F.array().cast("array<string>")))
+    quality = None
+    if factory is not None and not config.no_critic:
+        # the critic reads finished chapters; named tags outrank it
+        s = G.with_neighbours(done, KEY)
+        reqs = R.requests(s, s, roster.select("book_id", "ord", "name"), KEY, "critic", config.chunk_size)
+        said = stage(6, "critic", R.critiques(reqs, factory, KEY))
+        better, issues, quality = R.judged(s, said, KEY, config.chunk_size)
+        done = materialize(A.corrections(done, better, KEY), "corrected")
+        kept = first.where("anchor is not null").groupBy("book_id").agg(F.collect_set(F.lower("anchor")).alias("names"))
+        roster = O.objected(roster, issues.select("book_id", "name", "verdict", "canonical", (F.col("chapter_number") * 1_000_000 + F.col("ord")).alias("ord")), kept, "book_id")
+        roster = materialize(roster, "objected")
+        stage(6, "checks", O.chapter_checks(done, roster, KEY))
     final = O.merged_rosters(roster, "book_id")
     finished = Z.remapped_speakers(done, A.alias_map(final, "book_id"), "book_id")
     chaps = heads.join(body.select("book_id", F.col("chapter_number").alias("number"), "word_count"), ["book_id", "number"]).select("book_id", F.col("number").alias("chapter_number"), "title", "word_count", F.col("title").alias("start_marker"))
-    stats = Z.statistics(finished, chaps, final, None, "book_id")
+    stats = Z.statistics(finished, chaps, final, quality, "book_id")
     plain = lambda c: F.coalesce(c, F.lit("")).alias(c)
     shown = meta.select("book_id", plain("title"), plain("author"), F.col("language").alias("book_lang"), F.col("book_id").alias("gutenberg_id"), plain("release_date"), plain("credits"))
     return Z.documents(shown, chaps, finished, final, stats, "book_id", config.processing_config())

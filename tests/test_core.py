@@ -329,6 +329,39 @@ def test_config_and_cli():
     assert not f.must_run(2, True) and f.must_run(3, True) and f.must_run(7, True) and Config().must_run(1, False)
 
 
+class Scripted:
+    """A resolver that finds Bob and a ship, and a critic that gives the last speech to Bob."""
+
+    def resolve(self, system, user, schema):
+        import json
+
+        if system.startswith("List the characters"):
+            return json.dumps({"characters": [{"name": "Bob", "aliases": ["Bobby"]}, {"name": "Pequod"}, {"name": "N/A"}]})
+        if system.startswith("Check"):
+            index = [int(x) for x in re.findall(r"^(\d+)\. \[DIALOGUE\][^\n]*Now", user, re.M)]
+            return json.dumps({"corrections": [{"index": i, "speaker": "Bob"} for i in index] + [{"index": 999, "speaker": "Bob"}], "roster_issues": [{"name": "Pequod", "verdict": "not_a_character"}, {"name": "Lucy", "verdict": "not_a_character"}], "overall_quality": 0.5})
+        if system.startswith("These are numbered"):
+            return "no JSON"
+        return resolver.RuleResolver().resolve(system, user, schema)
+
+
+def test_model_chapters_and_codecs(spark):
+    from quillspark.plans.pipeline import discover
+    from quillspark.sources import schemas
+
+    class Proposing:
+        def resolve(self, system, user, schema):
+            return '{"chapters": [{"title": "Two", "start_line": 3}, {"title": "One", "start_line": 1}, {"title": "x", "start_line": "?"}]}' if "a b" in user else "{}"
+
+    texts = spark.createDataFrame([("p", "a b\n\nc d\ne f"), ("q", "z")], "book_id string, text string")
+    _, _, heads = discover(texts, Config(), Proposing)
+    got = [(r.book_id, r.number, r.title, r.start_line, r.end_line) for r in heads.orderBy("book_id", "number").collect()]
+    assert got == [("p", 1, "One", 1, 2), ("p", 2, "Two", 3, 4), ("q", 1, "Chapter 1", 1, 1)]
+    for ddl in schemas.DEFAULTS:
+        row = spark.createDataFrame([('{"number": 3, "name": "A", "text": "t"}',), ("{",)], "j string").select(schemas.from_json(F.col("j"), ddl).alias("r"), schemas.to_json(schemas.from_json(F.col("j"), ddl)).alias("back")).collect()
+        assert row[0].r is not None and spark.createDataFrame([(row[0].back,)], "j string").select(schemas.from_json(F.col("j"), ddl).alias("r")).first().r == row[0].r
+
+
 def test_sources_and_pipeline(spark, tmp_path):
     prose = "The weir was low that day and nobody came by it at all. " * 8
     text = "\n".join(["Title: The Weir", "Author: A. Oak", "", "*** START OF THE PROJECT ARCHIVE EBOOK X ***", "", "CHAPTER I", "", "“Come,” said Lucy, “it is late.”", "", prose, "", "CHAPTER II", "", "“Go,” cried Ann. “Now.”", "", prose, "*** END OF THE PROJECT ARCHIVE EBOOK X ***"])
@@ -346,8 +379,14 @@ def test_sources_and_pipeline(spark, tmp_path):
     said = [(s["text"], s["speaker"]) for c in d["chapters"] for s in c["processed"]["segments"] if s["type"] == "dialogue"]
     assert said == [("“Come,”", "Lucy"), ("“it is late.”", "Lucy"), ("“Go,”", "Ann"), ("“Now.”", "Unknown")]
     assert books.stage_complete(spark, config.stage_path(2) + "/chapters") and not books.stage_complete(spark, str(tmp_path / "none"))
-    again = run(read, Config(cache_dir=str(tmp_path / "cache"), chapters_only=[1]), resolver.RuleResolver)
-    assert again.count() >= 1
+    judged = run(read, Config(cache_dir=str(tmp_path / "critic")), Scripted).collect()
+    d = {x["metadata"]["title"]: x for x in (__import__("json").loads(r.document) for r in judged)}["The Weir"]
+    assert [c["name"] for c in d["characters"]] == ["Bob", "Lucy", "Ann"]  # the ship is struck, a tagged name stays
+    assert d["statistics"]["discovery_confidence"] == {"avg_confidence": 0.5, "min_confidence": 0.5}
+    said = [(s["text"], s["speaker"]) for c in d["chapters"] for s in c["processed"]["segments"] if s["type"] == "dialogue"]
+    assert said == [("“Come,”", "Lucy"), ("“it is late.”", "Lucy"), ("“Go,”", "Ann"), ("“Now.”", "Bob")]
+    only = run(read, Config(cache_dir=str(tmp_path / "some"), chapters_only=[1], no_critic=True), resolver.RuleResolver)
+    assert only.count() >= 1
 
 
 def test_stream(spark, tmp_path):
