@@ -127,10 +127,9 @@ def holds(doc: np.ndarray, passage: np.ndarray, diagonals: list[int]) -> bool:
     if any(_runs(_edges(doc, passage, d)) for d in diagonals):
         return True
     # words in common on each diagonal around
-    lo = max(0, min(diagonals) - GAP)
-    hi = min(len(doc), max(diagonals) + GAP + len(passage))
-    i, j = np.nonzero(doc[lo:hi, None] == passage[None, :])
-    common = np.bincount(i + lo - j + len(passage), minlength=len(doc) + len(passage) + GAP + 1)
+    around = np.unique(np.concatenate([np.arange(max(0, d - 1), min(len(doc), d + GAP + len(passage) + 1)) for d in diagonals]))
+    i, j = np.nonzero(doc[around, None] == passage[None, :])
+    common = np.bincount(around[i] - j + len(passage), minlength=len(doc) + len(passage) + GAP + 1)
     near = [(a, b) for a in diagonals for b in range(max(a - 1, 1 - len(passage)), a + GAP + 1) if a != b and min(x := common[a + len(passage)], y := common[b + len(passage)]) >= 3 and x + y >= LEAST_WORDS - 2]
     for a, b in near:
         x, y = _line(doc, passage, a), _line(doc, passage, b)

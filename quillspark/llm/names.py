@@ -68,6 +68,8 @@ ORG_WORDS = {
     "assurance": "assurance", "assur": "assurance", "assce": "assurance", "insurance": "insurance", "ins": "insurance", "canal": "canal", "bank": "bank", "limited": "limited", "ltd": "limited", "institute": "institute", "inst": "institute",
     "corporation": "corporation", "corp": "corporation", "college": "college", "coll": "college", "university": "university", "univ": "university", "committee": "committee", "comm": "committee", "council": "council", "club": "club", "union": "union", "house": "house", "press": "press", "works": "works", "mission": "mission", "manufacturing": "manufacturing", "mfg": "manufacturing",
 }
+#: Codes beyond this length, which no name has, block by themselves only.
+LONGEST_CODE = 40
 #: Least Jaro-Winkler similarity of two tokens that differ by a typing error.
 LEAST_SIMILAR = 0.8
 
@@ -149,7 +151,7 @@ def phonetic(token: str) -> str:
 def block_codes(token: str) -> list[str]:
     """The code of a token, and the code with one letter left out."""
     c = phonetic(token)
-    return sorted({c, *(c[:i] + c[i + 1 :] for i in range(len(c)))}) if len(c) > 1 else [c]
+    return sorted({c, *(c[:i] + c[i + 1 :] for i in range(len(c)))}) if 1 < len(c) <= LONGEST_CODE else [c]
 
 
 def _simple(name: str) -> str:

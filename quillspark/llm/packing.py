@@ -19,7 +19,8 @@ the fewest containers is taken; curve order wins ties.
 
 Defined results: null and empty texts, and texts of white space only in words,
 have size 0 and no container. Only a segment above chunk_size is divided, by the
-cutting operator without overlap. Redelivered segments count once.
+cutting operator without overlap. Redelivered segments count once; rows without a
+segment_id are segments of their own.
 """
 
 from __future__ import annotations
@@ -197,7 +198,7 @@ def _pack_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books = t.column("book_id").combine_chunks().dictionary_encode()
         keys = np.stack([np.asarray(books.indices.fill_null(-1)), t.column("chapter_number").fill_null(-1).to_numpy(), t.column("block").to_numpy(), t.column("capacity").to_numpy()], 1)
         ids = np.stack([t.column("segment_id").fill_null(-1).to_numpy(), t.column("piece_no").to_numpy()], 1)
-        same = np.concatenate(([False], (keys[1:, :3] == keys[:-1, :3]).all(1) & (ids[1:] == ids[:-1]).all(1)))
+        same = np.concatenate(([False], (keys[1:, :3] == keys[:-1, :3]).all(1) & (ids[1:] == ids[:-1]).all(1) & np.asarray(t.column("segment_id").is_valid())[1:]))
         if same.any():
             keep = ~same
             t, keys = t.filter(pa.array(keep)), keys[keep]

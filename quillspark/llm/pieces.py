@@ -94,14 +94,14 @@ def with_sizes(segments: DataFrame, configs: DataFrame) -> DataFrame:
 
     A repeated config_id counts once. Catalyst decides how to join by the size of ``configs``.
     """
-    c = configs.where("config_id is not null").groupBy("config_id").agg(F.first(F.struct("chunk_size", "chunk_overlap", "size_unit")).alias("c"))
-    joined = segments.drop("chunk_size", "chunk_overlap", "size_unit").join(c, "config_id", "left")
+    c = configs.where("config_id is not null").groupBy("config_id").agg(F.first(F.struct("chunk_size", "chunk_overlap", "size_unit")).alias("_sizes"))
+    joined = segments.drop("chunk_size", "chunk_overlap", "size_unit", "_sizes").join(c, "config_id", "left")
     return joined.select(
         "*",
-        F.coalesce("c.chunk_size", F.lit(DEFAULT_SIZE)).cast("int").alias("chunk_size"),
-        F.coalesce("c.chunk_overlap", F.lit(DEFAULT_OVERLAP)).cast("int").alias("chunk_overlap"),
-        F.coalesce("c.size_unit", F.lit(DEFAULT_UNIT)).alias("size_unit"),
-    ).drop("c")
+        F.coalesce("_sizes.chunk_size", F.lit(DEFAULT_SIZE)).cast("int").alias("chunk_size"),
+        F.coalesce("_sizes.chunk_overlap", F.lit(DEFAULT_OVERLAP)).cast("int").alias("chunk_overlap"),
+        F.coalesce("_sizes.size_unit", F.lit(DEFAULT_UNIT)).alias("size_unit"),
+    ).drop("_sizes")
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch], with_text: bool, only_cut: bool) -> Iterator[pa.RecordBatch]:

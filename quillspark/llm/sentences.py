@@ -15,8 +15,9 @@ its book; where the book is silent, in the corpus; where the corpus is silent,
 the token's shape decides. All of this is grouping and joining of short rows:
 no text is shuffled.
 
-Defined results: null and blank texts have no sentences; a redelivered segment
-counts once; a text without any end mark is one sentence.
+Defined results: null and blank texts, and rows without a segment_id, have no
+sentences; a redelivered segment counts once; a text without any end mark is one
+sentence.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ BOOK_SHARE, CORPUS_SHARE = 0.25, 0.08
 #: Share of what follows a token that must be known as a name or a common word for its evidence to count.
 TOLD_SHARE = 0.3
 
+#: How far back the opening mark of a quotation is looked for.
+LONGEST_QUOTE = 4000
 INVISIBLE = "\u00ad\u200b-\u200f\u2060-\u2064\ufeff"
 _DROP_INVISIBLE = dict.fromkeys([0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF])
 _FOLD = str.maketrans(LOOK_ALIKES) | _DROP_INVISIBLE
@@ -109,7 +112,7 @@ def _is_tag(text: str, j: int, script: str, closers: str, at: int) -> bool:
         if script == "ja":
             return False
     if close in _QUOTES:
-        opened = text.rfind(_QUOTES[close], 0, at)
+        opened = text.rfind(_QUOTES[close], max(0, at - LONGEST_QUOTE), at)
         before = text[max(0, opened - 3) : opened].rstrip() if opened > 0 else ""
         if before and before[-1] in ":：,，،、":
             return False

@@ -5,6 +5,7 @@ import unicodedata
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillspark.llm import canonical, encoding, leaks, names, packing, pieces, sentences, subjects
 from quillspark.llm.registry import oracle_sql, queries
@@ -286,6 +287,34 @@ def test_subjects_by_clusters(spark):
     assert subjects.subjects_by_clusters(docs.limit(0), ex, names_).count() == 0
 
 
+def test_very_long_values(spark):
+    """Texts and names far longer than any page, in time that grows with their length."""
+    import time
+
+    start = time.time()
+    quotes = "He said “go.” Then he went ” away. Dr. Oak? " * 20_000
+    starts, ends, _, _ = sentences.scan(quotes)
+    assert len(starts) > 40_000 and ends[-1] == len(quotes.rstrip())
+    assert len(pieces.cut(quotes, 100, 10, "word")) > 1000
+    assert len(names.block_codes("bdfgklmnprst" * 5_000)) == 1 and names.parse("x" * 50_000)["sur"]
+    p = passage(1)
+    ids = leaks.Index([(1, p)])
+    words = ["filler"] * 200_000 + p + ["filler"] * 200_000
+    assert ids.search(np.array([ids.code.get(w, 0) for w in words])) == [1]
+    assert len(subjects.terms_of(quotes)) > 100_000
+    assert time.time() - start < 60
+
+
+def test_rows_without_ids_and_clashing_columns(spark):
+    df = spark.createDataFrame([(None, "b", 1, "a b", 1, 0, "x"), (None, "b", 1, "c d", 1, 0, "x"), (1, "b", 1, "One. Two.", 1, 0, "x")], "segment_id long, book_id string, chapter_number int, text string, config_id int, starts int, word string")
+    conf = spark.createDataFrame([(1, 10, 3, "word")], CONF)
+    assert packing.containers(df, conf).count() == 3
+    assert sentences.sentences(df).count() == 2
+    clash = df.withColumn("_sizes", F.lit(1)).withColumn("chunk_size", F.lit(9)).withColumn("piece_no", F.lit(2))
+    assert pieces.pieces(clash, conf).count() == 3
+    assert canonical.same_reading_pairs(clash).count() == 0
+
+
 def test_registry():
     q = list(queries())
     assert q.index("p8_method") < q.index("p8_found") and set(oracle_sql()) <= set(q)
