@@ -24,8 +24,9 @@ def greedy_ids(sizes: Column, budget: int) -> Column:
 
 
 def segment_windows(segs: DataFrame, key: list[str], budget: int) -> DataFrame:
-    """(key, seg_idx, window_id) for segments with text, in the order of seg_idx."""
-    per = segs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("seg_idx", T.word_count(F.coalesce("text", F.lit(""))).alias("n")))).alias("xs"))
+    """(key, seg_idx, window_id) for segments with text, or with words where the text is counted already, in the order of seg_idx."""
+    n = F.col("words") if "words" in segs.columns else T.word_count(F.coalesce("text", F.lit("")))
+    per = segs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("seg_idx", n.alias("n")))).alias("xs"))
     ids = greedy_ids(F.transform("xs", lambda x: x["n"]), budget)
     return per.select(*key, F.explode(F.arrays_zip("xs", ids.alias("w"))).alias("z")).select(*key, F.col("z.xs.seg_idx").alias("seg_idx"), F.col("z.w").alias("window_id"))
 

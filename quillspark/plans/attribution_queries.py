@@ -36,13 +36,13 @@ def alias_map(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""with {Q.ALIASES}, {Q.SEGS}
 select segment_id, case when s.speaker is null or s.speaker in ('Unknown', 'Narrator') then s.speaker else coalesce(canonical, 'Unknown') end as speaker from segs s left join amap a on a.book_id = s.book_id and a.alias = lower(s.speaker)""")
 def remapped_speakers(spark: SparkSession, sf: str) -> DataFrame:
-    return Z.remapped_speakers(segments_once(spark, sf), aliases(spark, sf), "book_id").select("segment_id", "speaker")
+    return Z.remapped_speakers(segments_once(spark, sf, "book_id", "speaker"), aliases(spark, sf), "book_id").select("segment_id", "speaker")
 
 
 @query(f"with {Q.SEGS} select segment_id, {Q.is_tag('seg_type', 'text')} as is_tag, {Q.leads('text')} as leads from segs where text is not null")
 def attribution_tags(spark: SparkSession, sf: str) -> DataFrame:
-    s = segments_once(spark, sf).where("text is not null")
-    return s.select("segment_id", T.is_tag(F.col("seg_type"), F.col("text")).alias("is_tag"), T.leads_with_speech(F.col("text")).alias("leads"))
+    x = F.col("text")
+    return segments_once(spark, sf, T.is_tag(F.col("seg_type"), x).alias("is_tag"), T.leads_with_speech(x).alias("leads"), x.isNotNull().alias("has")).where("has").drop("has")
 
 
 def named(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,7 +98,7 @@ short as (select segment_id, book_id, text from segs where seg_type = 'dialogue'
 h as (select segment_id, canonical, max(length(alias)) as n from short s join amap a on a.book_id = s.book_id and length(alias) >= 3 and contains(lower(text), alias) and {Q.mentions('s.text', 'a.alias')} group by all)
 select segment_id, count(*) as mentioned, max(n)::int as longest from h group by segment_id""")
 def mentions(spark: SparkSession, sf: str) -> DataFrame:
-    s = segments_once(spark, sf).where("seg_type = 'dialogue' and text is not null").select("segment_id", "book_id", "text")
+    s = segments_once(spark, sf, "book_id", "seg_type", "text").where("seg_type = 'dialogue' and text is not null").drop("seg_type")
     a = aliases(spark, sf).where(F.length("alias") >= A.SHORTEST_MENTION)
     hit = s.join(a, "book_id").where(F.contains(F.lower("text"), F.col("alias")) & T.mentions(F.col("text"), F.col("alias")))
     longest = hit.groupBy("segment_id", "canonical").agg(F.max(F.length("alias")).alias("n"))
@@ -114,7 +114,7 @@ ns as (select book_id, name, min(ord) as ord from people where name is not null
 d as (select l.book_id, speaker, name, ord, levenshtein({_ASCII.format('speaker')}, {_ASCII.format('name')}) as distance from lost l join ns on ns.book_id = l.book_id)
 select book_id, speaker, arg_min(name, (distance, ord)) as nearest, min(distance)::int as distance from d where distance <= 2 group by book_id, speaker""")
 def nearest_names(spark: SparkSession, sf: str) -> DataFrame:
-    return O.nearest_names(segments_once(spark, sf), people(spark, sf), "book_id")
+    return O.nearest_names(table(spark, sf, "segments").select("book_id", "speaker"), people(spark, sf), "book_id")
 
 
 @query(f"""with {Q.ROSTER},
@@ -144,17 +144,17 @@ def speaker_options(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with {Q.SEGS} select book_id, chapter_number, count(*) filter (seg_type = 'dialogue') as dialogue, count(*) filter (seg_type = 'dialogue' and coalesce(speaker, 'Unknown') <> 'Unknown') as named, count(*) filter (seg_type = 'dialogue' and coalesce(speaker, 'Unknown') = 'Unknown') as unknown from segs group by all")
 def attribution_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return Z.attribution_counts(segments_once(spark, sf), CHAPTER)
+    return Z.attribution_counts(segments_once(spark, sf, *CHAPTER, "seg_type", "speaker"), CHAPTER)
 
 
 @query(f"with {Q.SEGS} select segment_id from segs where seg_type = 'dialogue' and speaker is null")
 def unresolved_dialogue(spark: SparkSession, sf: str) -> DataFrame:
-    return A.unresolved(segments_once(spark, sf)).select("segment_id")
+    return A.unresolved(segments_once(spark, sf, "seg_type", "speaker")).select("segment_id")
 
 
 def passes(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Answers of three readers to every unresolved segment, by arithmetic on its number."""
-    u = A.unresolved(segments_once(spark, sf)).select("segment_id", *CHAPTER, "seg_idx")
+    u = A.unresolved(segments_once(spark, sf, *CHAPTER, "seg_idx", "seg_type", "speaker")).select("segment_id", *CHAPTER, "seg_idx")
     who = lambda k: F.concat(F.lit("N"), ((F.col("segment_id") * k) % 3).cast("string"))
     on = [*CHAPTER, "seg_idx"]
     return {
@@ -177,7 +177,7 @@ def pass_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 n as (select *, lag(case when regexp_matches({Q.strip('text')}, '[,;:]$') then ans end) over w as ahead, lead(ans) over w as back from t window w as (partition by book_id, chapter_number order by seg_idx))
 select segment_id, case when seg_type = 'dialogue' then coalesce(speaker, ahead, back) else speaker end as speaker from n""")
 def tag_answers_spread(spark: SparkSession, sf: str) -> DataFrame:
-    s = segments_once(spark, sf)
+    s = segments_once(spark, sf, *CHAPTER, "seg_idx", "seg_type", "speaker", F.right(T.strip(F.col("text")), F.lit(1)).alias("text"))  # only how it ends counts
     ans = s.where("seg_type = 'narration' and segment_id % 4 <> 0").select(*CHAPTER, "seg_idx", F.concat(F.lit("T"), (F.col("segment_id") % 5).cast("string")).alias("speaker"), F.lit(0).alias("ord"))
     return A.spread_tag_answers(s, ans, CHAPTER).select("segment_id", "speaker")
 
@@ -185,7 +185,7 @@ def tag_answers_spread(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""with {Q.SEGS}, c as (select *, 'C' || (segment_id % 4) as better, case when segment_id % 6 = 0 then 'said' end as anchor from segs)
 select segment_id, case when seg_type = 'dialogue' and anchor is null and segment_id % 3 = 0 and speaker is distinct from better then better else speaker end as speaker, coalesce(seg_type = 'dialogue' and anchor is null and segment_id % 3 = 0 and speaker is distinct from better, false) as corrected from c""")
 def critic_corrections(spark: SparkSession, sf: str) -> DataFrame:
-    s = segments_once(spark, sf).withColumn("anchor", F.when(F.col("segment_id") % 6 == 0, "said"))
+    s = segments_once(spark, sf, *CHAPTER, "seg_idx", "seg_type", "speaker").withColumn("anchor", F.when(F.col("segment_id") % 6 == 0, "said"))
     one = s.where("segment_id % 3 = 0").select(*CHAPTER, "seg_idx", F.concat(F.lit("C"), (F.col("segment_id") % 4).cast("string")).alias("speaker"))
     proposed = one.withColumn("ord", F.lit(1)).union(one.withColumn("speaker", F.lit("first")).withColumn("ord", F.lit(0)))
     return A.corrections(s, proposed, CHAPTER).select("segment_id", "speaker", F.coalesce("corrected", F.lit(False)).alias("corrected"))
@@ -194,7 +194,7 @@ def critic_corrections(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""with {Q.SEGS}, w as (select book_id, chapter_number, seg_idx // 10 as window_id, count(*) filter (seg_type = 'dialogue') as dialogue, case when chapter_number % 4 <> 0 then (seg_idx // 10 + chapter_number) % 5 / 4.0 end as quality from segs group by all)
 select book_id, chapter_number, round(coalesce(sum(quality * dialogue) / nullif(sum(case when quality is not null then dialogue end), 0), avg(quality), 1.0), 6)::double as quality from (select book_id, chapter_number, window_id, sum(dialogue) as dialogue, any_value(quality) as quality from w group by all) group by all""")
 def critic_quality(spark: SparkSession, sf: str) -> DataFrame:
-    w = segments_once(spark, sf).withColumn("window_id", (F.col("seg_idx") / 10).cast("int")).groupBy(*CHAPTER, "window_id").agg(F.count_if(F.col("seg_type") == "dialogue").alias("dialogue"))
+    w = segments_once(spark, sf, *CHAPTER, "seg_idx", "seg_type").withColumn("window_id", (F.col("seg_idx") / 10).cast("int")).groupBy(*CHAPTER, "window_id").agg(F.count_if(F.col("seg_type") == "dialogue").alias("dialogue"))
     w = w.withColumn("quality", F.when(F.col("chapter_number") % 4 != 0, ((F.col("window_id") + F.col("chapter_number")) % 5) / F.lit(4.0)))
     return A.quality(w, CHAPTER).select(*CHAPTER, F.round("quality", 6).alias("quality"))
 
@@ -216,7 +216,7 @@ def new_roster_names(spark: SparkSession, sf: str) -> DataFrame:
 c as (select distinct book_id, chapter_number from x)
 select c.book_id, c.chapter_number, list_sort(list_distinct(list(x.low))) as names from c join x on x.book_id = c.book_id and x.chapter_number <= c.chapter_number group by all""")
 def protected_names(spark: SparkSession, sf: str) -> DataFrame:
-    s = segments_once(spark, sf).where("speaker is not null").select(*CHAPTER, F.col("speaker").alias("anchor"))
+    s = segments_once(spark, sf, *CHAPTER, "speaker").where("speaker is not null").select(*CHAPTER, F.col("speaker").alias("anchor"))
     return O.protected_names(s, CHAPTER)
 
 
@@ -229,7 +229,7 @@ q as (select book_id, avg((chapter_number % 5) / 4.0) as a, min((chapter_number
 def book_statistics(spark: SparkSession, sf: str) -> DataFrame:
     c = chapters_once(spark, sf)
     q = c.select("book_id", ((F.col("chapter_number") % 5) / F.lit(4.0)).alias("quality"))
-    return Z.statistics(segments_once(spark, sf), c, people(spark, sf), q, "book_id").withColumn("avg_confidence", F.round("avg_confidence", 6))
+    return Z.statistics(segments_once(spark, sf, "book_id"), c, people(spark, sf), q, "book_id").withColumn("avg_confidence", F.round("avg_confidence", 6))
 
 
 @query(f"""with {_STATS} select distinct b.book_id, (c.total_chapters)::bigint as chapters, true as is_json from books b join c on c.book_id = b.book_id""")
@@ -257,7 +257,7 @@ def duplicate_merge(spark: SparkSession, sf: str) -> DataFrame:
 def rolling_roster(spark: SparkSession, sf: str) -> DataFrame:
     """The roster of each book after each chapter."""
     p = people(spark, sf).where("name is not null").withColumn("chapter_number", F.coalesce("first_appearance_chapter", F.lit(1))).withColumn("first_appearance_chapter", F.col("chapter_number"))
-    said = segments_once(spark, sf).where("seg_type = 'dialogue' and speaker not in ('Unknown', 'Narrator')").select(*CHAPTER, F.col("speaker").alias("anchor"))
+    said = segments_once(spark, sf, *CHAPTER, "seg_type", "speaker").where("seg_type = 'dialogue' and speaker not in ('Unknown', 'Narrator')").select(*CHAPTER, F.col("speaker").alias("anchor"))
     return O.rolling_rosters(p, said, "book_id")
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import patterns as P
@@ -23,9 +23,17 @@ def docs(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").where("text is not null")
 
 
-def segments_once(spark: SparkSession, sf: str) -> DataFrame:
+def segments_once(spark: SparkSession, sf: str, *columns: str | Column) -> DataFrame:
+    """Redelivered segments once, with segment_id and the columns asked for.
+
+    segment_id is the key, so the fewer columns, the less is shuffled; what a query derives
+    from the text it asks for as a column, and the text stays where it is.
+    """
     s = table(spark, sf, "segments").withColumn("speaker", F.nullif("speaker", F.lit("")))
-    return s.select(*SEGMENT_COLUMNS).distinct()
+    return s.select("segment_id", *(columns or SEGMENT_COLUMNS[1:])).distinct()
+
+
+WORDS = T.word_count(F.coalesce("text", F.lit(""))).alias("words")
 
 
 def doc_segments(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,7 +64,7 @@ def quote_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with {Q.SEGS}, s as (select segment_id, {Q.sentences(Q.unwrap('text'))} as ss from segs where text is not null) select segment_id, (unnest(range(len(ss))))::int as sent_no, unnest(ss) as sentence from s")
 def narration_sentences(spark: SparkSession, sf: str) -> DataFrame:
-    s = segments_once(spark, sf).where("text is not null")
+    s = segments_once(spark, sf, "text").where("text is not null")
     return s.select("segment_id", F.posexplode(T.sentences(T.unwrap(F.col("text")))).alias("sent_no", "sentence"))
 
 
@@ -67,7 +75,7 @@ fold as (select segment_id, ss, 1 as i, '' as cur, []::varchar[] as done from s
 ends as (select segment_id, case when cur = '' then done else done || [cur] end as cs from fold where i = len(ss) + 1)
 select segment_id, (unnest(range(len(cs))))::int as chunk_no, unnest(cs) as chunk from ends""")
 def narration_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    s = segments_once(spark, sf).where("seg_type = 'narration'").select("segment_id", T.unwrap(F.col("text")).alias("text")).where("length(text) > 400")
+    s = segments_once(spark, sf, "seg_type", "text").where("seg_type = 'narration'").select("segment_id", T.unwrap(F.col("text")).alias("text")).where("length(text) > 400")
     return s.select("segment_id", F.posexplode(G.narration_chunks(F.col("text"))).alias("chunk_no", "chunk"))
 
 
@@ -81,12 +89,13 @@ def coverage_check(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"with {Q.SEGS} select segment_id, {Q.tag_sentences('text')} as ss from segs where text is not null and seg_type = 'narration'")
 def tag_sentences(spark: SparkSession, sf: str) -> DataFrame:
-    return segments_once(spark, sf).where("text is not null and seg_type = 'narration'").select("segment_id", T.tag_sentences(F.col("text")).alias("ss"))
+    return segments_once(spark, sf, "seg_type", "text").where("text is not null and seg_type = 'narration'").select("segment_id", T.tag_sentences(F.col("text")).alias("ss"))
 
 
 @query(f"with {Q.SEGS} select book_id, chapter_number, count(*) as empty from segs where {Q.strip("coalesce(text, '')")} = '' group by book_id, chapter_number")
 def empty_segments(spark: SparkSession, sf: str) -> DataFrame:
-    s = segments_once(spark, sf).where(T.strip(F.coalesce("text", F.lit(""))) == "")
+    blank = T.strip(F.coalesce("text", F.lit(""))) == ""
+    s = segments_once(spark, sf, *CHAPTER, blank.alias("blank")).where("blank")
     return s.groupBy(*CHAPTER).agg(F.count("*").alias("empty"))
 
 
@@ -99,7 +108,7 @@ fold as (select book_id, chapter_number, seg_idx, i, n as used, 1 as held, 0 as
 
 @query(f"with recursive {_WINDOWS} select book_id, chapter_number, seg_idx, window_id from fold")
 def segment_windows(spark: SparkSession, sf: str) -> DataFrame:
-    return W.segment_windows(segments_once(spark, sf), CHAPTER, 250)
+    return W.segment_windows(segments_once(spark, sf, *CHAPTER, "seg_idx", WORDS), CHAPTER, 250)
 
 
 @query(f"""with recursive {_WINDOWS},
@@ -107,7 +116,7 @@ starts as (select book_id, chapter_number, window_id, min(seg_idx) as first from
 select book_id, chapter_number, window_id, seg_idx, false as is_context from fold
 union all select s.book_id, s.chapter_number, s.window_id, f.seg_idx, true from fold f join starts s on s.book_id = f.book_id and s.chapter_number = f.chapter_number and f.seg_idx < s.first and f.seg_idx >= s.first - 8""")
 def context_windows(spark: SparkSession, sf: str) -> DataFrame:
-    return W.with_context(W.segment_windows(segments_once(spark, sf), CHAPTER, 250), CHAPTER)
+    return W.with_context(W.segment_windows(segments_once(spark, sf, *CHAPTER, "seg_idx", WORDS), CHAPTER, 250), CHAPTER)
 
 
 @query(f"""with recursive d as (select doc_id, text, string_split(text, chr(10) || chr(10)) as ps from documents where text is not null and {Q.word_count('text')} > 100),
