@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm.canonical import canonical_texts
@@ -315,24 +315,24 @@ def _fits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out.filter(pa.array([k >= 0 for k in fit], pa.bool_()))
 
 
-def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Connected components: (book_id, name, entity) with the least name of each component.
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components: (book_id, name, entity) of every linked name, with the least name of its component.
 
     Every round takes the least label among a node and its neighbours and then the
-    label of that label, until no label changes. Each round is written to the shared folder.
+    label of that label, until no label changes. Each round is one table in the shared
+    folder; how many labels changed is counted while it is written.
     """
     both = materialize(edges.select("book_id", "x", "y").union(edges.select("book_id", F.col("y").alias("x"), F.col("x").alias("y"))).where("x <> y").distinct(), "p4-edges")
-    linked = both.select("book_id", F.col("x").alias("name")).distinct()
-    label = linked.withColumn("entity", F.col("name"))
+    label = materialize(both.groupBy("book_id", F.col("x").alias("name")).agg(F.min("y").alias("least")).select("book_id", "name", F.least("name", "least").alias("entity")), "p4-labels")
     while True:
         near = both.join(label.withColumnRenamed("name", "y"), ["book_id", "y"]).groupBy("book_id", F.col("x").alias("name")).agg(F.min("entity").alias("near"))
-        step = label.join(near, ["book_id", "name"]).select("book_id", "name", F.col("entity").alias("old"), F.least("entity", "near").alias("entity"))
-        jump = step.select("book_id", F.col("name").alias("entity"), F.col("entity").alias("far"))
-        label = materialize(step.join(jump, ["book_id", "entity"], "left").select("book_id", "name", "old", F.least("entity", F.coalesce("far", "entity")).alias("entity")), "p4-labels")
-        if label.where("old <> entity").isEmpty():
-            break
-        label = label.drop("old")
-    return nodes.select("book_id", "name").join(label.select("book_id", "name", "entity"), ["book_id", "name"], "left").withColumn("entity", F.coalesce("entity", "name"))
+        jump = label.select("book_id", F.col("name").alias("entity"), F.col("entity").alias("far"))
+        step = label.join(near, ["book_id", "name"]).join(jump, ["book_id", "entity"], "left")
+        best = F.least("entity", "near", F.coalesce("far", "entity"))
+        counted = Observation()
+        label = materialize(step.select("book_id", "name", best.alias("entity"), (best != F.col("entity")).alias("moved")).observe(counted, F.count_if("moved").alias("moved")).select("book_id", "name", "entity"), "p4-labels")
+        if not counted.get["moved"]:
+            return label
 
 
 def name_entities(roster: DataFrame, segments: DataFrame) -> DataFrame:
@@ -353,43 +353,42 @@ def name_entities(roster: DataFrame, segments: DataFrame) -> DataFrame:
     by_key = core.select("book_id", "name", F.explode("keys").alias("key")).where(~F.col("key").startswith("g:") & ~F.col("key").startswith("a:"))
     met = by_key.alias("l").join(by_key.alias("r"), ["book_id", "key"]).where("l.name < r.name").select("book_id", F.col("l.name").alias("x"), F.col("r.name").alias("y")).distinct()
     links = met.mapInArrow(_pairs_alike, "book_id string, x string, y string")
-    full_of = listed.join(core.select("book_id", "name"), ["book_id", "name"])
+    full_of = materialize(listed.join(core.select("book_id", "name"), ["book_id", "name"]), "p4-full")
     head = full_of.groupBy("book_id", "character_id").agg(F.min("name").alias("x"))
     listed_links = full_of.join(head, ["book_id", "character_id"]).select("book_id", "x", F.col("name").alias("y"))
-    entity_of = materialize(components(core, links.union(listed_links)), "p4-core")
+    label = components(links.union(listed_links))
+    told = materialize(core.join(label, ["book_id", "name"], "left").withColumn("entity", F.coalesce("entity", "name")), "p4-core")
 
     # what is known of each entity: titles, middle initials, and the gender of its given name in the corpus
-    told = core.join(entity_of, ["book_id", "name"])
-    titled = listed.join(parsed.where("how = 'title'").select("book_id", "name", "title", "sur"), ["book_id", "name"])
-    by_entry = full_of.join(told.select("book_id", "name", "entity", F.col("sur").alias("full_sur")), ["book_id", "name"]).join(titled.drop("name"), ["book_id", "character_id"]).where(F.levenshtein("sur", "full_sur") <= 2).select("book_id", "entity", "title", F.lit("").alias("middle"))
+    titled = listed.join(parsed.where("how = 'title'").select("book_id", "name", "title", "sur"), ["book_id", "name"]).drop("name")
+    by_entry = full_of.join(told.select("book_id", "name", "entity", F.col("sur").alias("full_sur")), ["book_id", "name"]).join(titled, ["book_id", "character_id"]).where(F.levenshtein("sur", "full_sur") <= 2).select("book_id", "entity", "title", F.lit("").alias("middle"))
     facts = told.where("kind = 'full'").select("book_id", "entity", "title", "middle").union(by_entry)
     facts = facts.groupBy("book_id", "entity").agg(F.collect_set(F.when(F.col("title") != "", F.col("title"))).alias("titles"), F.collect_set(F.when(F.col("middle") != "", F.col("middle"))).alias("middles"))
-    genders = core.where("gender <> ''").groupBy("given").agg(F.mode("gender").alias("known_gender"))
+    genders = told.where("gender <> ''").groupBy("given").agg(F.mode("gender").alias("known_gender"))
+    known = materialize(told.select("book_id", "entity", F.col("name").alias("full"), "given").join(genders, "given", "left").join(facts, ["book_id", "entity"], "left").select("book_id", "full", "titles", "middles", "known_gender"), "p4-known")
 
     # 2. every other spelling joins the one entity it fits best
     whole = told.select("book_id", "entity", F.col("name").alias("full"), F.explode("keys").alias("key"))
     rest = parsed.where("kind in ('part', 'acro')")
     tried = rest.select("book_id", "name", F.explode("keys").alias("key")).join(whole, ["book_id", "key"]).select("book_id", "name", "entity", "full").distinct()
-    known = told.select("book_id", "entity", F.col("name").alias("full"), "given").join(genders, "given", "left").join(facts, ["book_id", "entity"], "left").select("book_id", "full", "titles", "middles", "known_gender")
     asked = tried.join(known, ["book_id", "full"]).select("book_id", "name", "entity", "full", "titles", "middles", "known_gender")
-    fits = materialize(asked.mapInArrow(_fits, "book_id string, name string, entity string, fit int").groupBy("book_id", "name", "entity").agg(F.min("fit").alias("fit")), "p4-fits")
-    best = fits.groupBy("book_id", "name").agg(F.min_by("entity", "fit").alias("entity"), F.min("fit").alias("fit")).join(fits.groupBy("book_id", "name", "fit").agg(F.count("*").alias("n")), ["book_id", "name", "fit"])
-    joined = best.where("n = 1").select("book_id", "name", "entity")
+    fits = asked.mapInArrow(_fits, "book_id string, name string, entity string, fit int").groupBy("book_id", "name", "entity").agg(F.min("fit").alias("fit"))
+    alike_ = fits.groupBy("book_id", "name", "fit").agg(F.count("*").alias("n"), F.min("entity").alias("entity"))
+    best = materialize(alike_.groupBy("book_id", "name").agg(F.min_by(F.struct("n", "entity"), "fit").alias("b")).select("book_id", "name", "b.n", "b.entity"), "p4-best")
+    placed = told.select("book_id", "name", "entity").union(best.where("n = 1").select("book_id", "name", "entity"))
 
     # 3. spellings that fit nothing: by roster entry, or the same but for case and title
-    placed = entity_of.select("book_id", "name", "entity").union(joined)
-    lost = rest.join(fits.select("book_id", "name").distinct(), ["book_id", "name"], "left_anti")
-    lost_of = listed.join(lost.select("book_id", "name"), ["book_id", "name"])
-    home = listed.join(placed, ["book_id", "name"]).groupBy("book_id", "character_id").agg(F.min("entity").alias("entity"), F.countDistinct("entity").alias("n")).where("n = 1")
-    homed = lost_of.join(home, ["book_id", "character_id"]).groupBy("book_id", "name").agg(F.min("entity").alias("entity"), F.countDistinct("entity").alias("n")).where("n = 1").select("book_id", "name", "entity")
-    lone = lost.join(homed, ["book_id", "name"], "left_anti").select("book_id", "name", "same")
-    heads = lone.groupBy("book_id", "same").agg(F.min("name").alias("x"))
-    same_links = lone.join(heads, ["book_id", "same"]).select("book_id", "x", F.col("name").alias("y"))
-    lone_of = listed.join(lone.select("book_id", "name"), ["book_id", "name"])
-    lone_head = lone_of.groupBy("book_id", "character_id").agg(F.min("name").alias("x"))
-    entry_links = lone_of.join(lone_head, ["book_id", "character_id"]).select("book_id", "x", F.col("name").alias("y"))
-    alone = components(lone, same_links.union(entry_links)).withColumn("entity", F.concat(F.lit("~"), "entity"))
-    return placed.union(homed).union(alone)
+    lost = materialize(rest.select("book_id", "name", "same").join(best.select("book_id", "name"), ["book_id", "name"], "left_anti"), "p4-lost")
+    lost_of = materialize(listed.join(lost.select("book_id", "name"), ["book_id", "name"]), "p4-lost-of")
+    home = listed.join(lost_of.select("book_id", "character_id").distinct(), ["book_id", "character_id"], "left_semi").join(placed, ["book_id", "name"])
+    home = home.groupBy("book_id", "character_id").agg(F.min("entity").alias("entity"), F.countDistinct("entity").alias("n")).where("n = 1").drop("n")
+    homed = materialize(lost_of.join(home, ["book_id", "character_id"]).groupBy("book_id", "name").agg(F.min("entity").alias("entity"), F.countDistinct("entity").alias("n")).where("n = 1").drop("n"), "p4-homed")
+    lone = materialize(lost.join(homed, ["book_id", "name"], "left_anti"), "p4-lone")
+    same_links = lone.join(lone.groupBy("book_id", "same").agg(F.min("name").alias("x")), ["book_id", "same"]).select("book_id", "x", F.col("name").alias("y"))
+    lone_of = lost_of.join(lone.select("book_id", "name"), ["book_id", "name"])
+    entry_links = lone_of.join(lone_of.groupBy("book_id", "character_id").agg(F.min("name").alias("x")), ["book_id", "character_id"]).select("book_id", "x", F.col("name").alias("y"))
+    alone = lone.select("book_id", "name").join(components(same_links.union(entry_links)), ["book_id", "name"], "left")
+    return placed.union(homed).union(alone.select("book_id", "name", F.concat(F.lit("~"), F.coalesce("entity", "name"))))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
