@@ -38,14 +38,13 @@ from quillspark.storage import materialize
 
 #: Share of a document's sentences from which it has a subject.
 LEAST_SHARE = 1 / 8
-#: Rounds that carry the lexicon over to the corpus.
-ROUNDS = 3
 #: A term belongs to a subject from this share of its documents' other terms, in at least so many documents.
 TERM_SHARE, TERM_DOCUMENTS = 0.42, 4
 #: The share must also exceed the subject's share of all evidence by this much.
 OVER_BASE = 0.25
 #: Share of a term's documents that must have other subject terms: a subject's words keep company, narrative words need none.
-TERM_TOLD = 0.6
+#: Each value is a round that carries the lexicon over to the corpus.
+TERM_TOLD = (0.6, 0.6, 0.6)
 #: Labelled examples to fit on; more are left out by the order of their ids.
 EXAMPLES_BOUND = 20_000
 #: Terms up to which the lexicon is sent to every task; beyond, it is joined.
@@ -55,41 +54,64 @@ LEAVES, FEATURES = 64, 1 << 13
 _TERM = re.compile(r"[^\W\d_㐀-鿿豈-\ufaff]{2,}|[㐀-鿿豈-\ufaff]+")
 
 
-def terms_of(text: str) -> list[str]:
-    """Words of a text; of stretches of ideographs, the pairs of neighbours."""
+def _han(ch: str) -> bool:
+    return "\u3400" <= ch <= "\u9fff" or "\uf900" <= ch <= "\ufaff"
+
+
+def terms_of(text: str, breaks: frozenset[str] = frozenset()) -> list[str]:
+    """Words of a text; of stretches of ideographs the pairs of neighbours, where ``breaks`` end a stretch."""
     out = []
     for t in _TERM.findall(text.lower()):
-        if "㐀" <= t[0]:
-            if "㐀" <= t[0] <= "鿿" or "豈" <= t[0] <= "\ufaff":
-                out += [t[i : i + 2] for i in range(len(t) - 1)] or [t]
-                continue
-        out.append(t)
+        if not _han(t[0]):
+            out.append(t)
+            continue
+        for run in re.split(f"[{''.join(sorted(breaks))}]", t) if breaks else [t]:
+            out += [run[i : i + 2] for i in range(len(run) - 1)] or ([run] if run else [])
     return out
 
 
-def _sentence_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def common_ideographs(examples: list[tuple[str, str]], most: int = 3) -> frozenset[str]:
+    """Ideographs that occur in the examples of more than ``most`` subjects: they are the language's, not a subject's."""
+    seen: dict[str, set] = defaultdict(set)
+    for subject, text in examples:
+        for ch in set(text):
+            if _han(ch):
+                seen[ch].add(subject)
+    return frozenset(ch for ch, s in seen.items() if len(s) > most)
+
+
+def _sentence_batches(batches: Iterator[pa.RecordBatch], breaks: frozenset[str]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.list_(pa.string()))
     for b in slices(batches):
         texts = b.column(1).to_pylist()
         out = []
         for raw, form in zip(texts, canonical_texts(texts)):
-            out.append([terms_of(form[s:e]) for s, e in plain_sentences(form)] if raw and form and not form.isspace() else [])
+            out.append([terms_of(form[s:e], breaks) for s, e in plain_sentences(form)] if raw and form and not form.isspace() else [])
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, kind)], ["doc_id", "sentences"])
 
 
-def sentence_terms(documents: DataFrame) -> DataFrame:
+def sentence_terms(documents: DataFrame, breaks: frozenset[str] = frozenset()) -> DataFrame:
     """(doc_id, sentences): the terms of each sentence of each document, in order."""
     rows = documents.where("text is not null").select("doc_id", "text")
-    return rows.mapInArrow(_sentence_batches, "doc_id bigint, sentences array<array<string>>")
+    return rows.mapInArrow(lambda it: _sentence_batches(it, breaks), "doc_id bigint, sentences array<array<string>>")
+
+
+def labelled(examples: DataFrame) -> list[tuple[str, str]]:
+    """(subject, text) of at most EXAMPLES_BOUND labelled examples."""
+    rows = examples.where("text is not null and subject is not null").orderBy("example_id").limit(EXAMPLES_BOUND).select("subject", "text").collect()
+    return [(r["subject"], canonical_texts([r["text"]])[0]) for r in rows]
 
 
-def example_lexicon(examples: list[tuple[str, str]]) -> dict[str, str]:
-    """Terms that occur in the examples of (nearly) one subject only."""
+def example_lexicon(examples: list[tuple[str, str]], breaks: frozenset[str] = frozenset()) -> dict[str, str]:
+    """Terms that occur, and more than once, in the examples of (nearly) one subject only."""
     seen: dict[str, Counter] = defaultdict(Counter)
+    times: Counter = Counter()
     for subject, text in examples:
-        for t in set(terms_of(canonical_texts([text])[0])):
+        terms = Counter(terms_of(text, breaks))
+        times += terms
+        for t in terms:
             seen[t][subject] += 1
-    return {t: c.most_common(1)[0][0] for t, c in seen.items() if c.most_common(1)[0][1] >= 0.75 * c.total()}
+    return {t: c.most_common(1)[0][0] for t, c in seen.items() if times[t] > 1 and c.most_common(1)[0][1] >= 0.75 * c.total()}
 
 
 def _lexicons(b: pa.RecordBatch, lexicon: dict[str, str] | None) -> Iterator[dict[str, str]]:
@@ -152,13 +174,11 @@ def _with_lexicon(docs: DataFrame, lexicon: DataFrame, size: int) -> tuple[DataF
     return docs.join(own, "doc_id", "left").select("doc_id", "sentences", "entries"), None
 
 
-def carried_lexicon(docs: DataFrame, examples: DataFrame, subjects: list[str]) -> DataFrame:
-    """(term, subject) of the corpus, from labelled examples."""
+def carried_lexicon(docs: DataFrame, start: dict[str, str], subjects: list[str]) -> DataFrame:
+    """(term, subject) of the corpus, from the lexicon of the examples."""
     spark = docs.sparkSession
-    labelled = examples.where("text is not null and subject is not null").orderBy("example_id").limit(EXAMPLES_BOUND).select("subject", "text").collect()
-    start = example_lexicon([(r["subject"], r["text"]) for r in labelled])
     lexicon, size = spark.createDataFrame(list(start.items()) or [("", "")], "term string, subject string"), len(start)
-    for _ in range(ROUNDS):
+    for told in TERM_TOLD:
         rows, own = _with_lexicon(docs, lexicon, size)
         sums = rows.mapInArrow(lambda it, own=own: _carry_batches(it, own, subjects), "term string, sums array<double>")
         k = len(subjects)
@@ -168,7 +188,7 @@ def carried_lexicon(docs: DataFrame, examples: DataFrame, subjects: list[str]) -
         merged = materialize(merged, "p8-carried")
         base = merged.agg(*[(F.sum(f"s{i}") / F.sum(f"s{k}")).alias(f"b{i}") for i in range(k)]).first()
         least = F.greatest(F.lit(TERM_SHARE), F.coalesce(*[F.when(F.col(f"s{i}") == best, F.lit((base[i] or 0.0) + OVER_BASE)) for i in range(k)]))
-        lexicon = materialize(merged.where((F.col(f"s{k}") >= TERM_DOCUMENTS) & (F.col(f"s{k}") >= TERM_TOLD * F.col(f"s{k + 1}")) & (best >= least * F.col(f"s{k}"))).select("term", subject.alias("subject")), "p8-lexicon")
+        lexicon = materialize(merged.where((F.col(f"s{k}") >= TERM_DOCUMENTS) & (F.col(f"s{k}") >= told * F.col(f"s{k + 1}")) & (best >= least * F.col(f"s{k}"))).select("term", subject.alias("subject")), "p8-lexicon")
         size = lexicon.count()
     return lexicon
 
@@ -200,8 +220,10 @@ def _subject_names(subjects: DataFrame) -> list[str]:
 def subjects_by_sentences(documents: DataFrame, examples: DataFrame, subjects: DataFrame) -> DataFrame:
     """(doc_id, subject) where at least an eighth of the sentences treat the subject."""
     names = _subject_names(subjects)
-    docs = materialize(sentence_terms(documents), "p8-sentences")
-    lexicon = carried_lexicon(docs, examples, names)
+    known = labelled(examples)
+    breaks = common_ideographs(known)
+    docs = materialize(sentence_terms(documents, breaks), "p8-sentences")
+    lexicon = carried_lexicon(docs, example_lexicon(known, breaks), names)
     rows, own = _with_lexicon(docs, lexicon, lexicon.count())
     return rows.mapInArrow(lambda it: _judge_batches(it, own), "doc_id bigint, subject string").distinct()
 
@@ -213,7 +235,9 @@ def subjects_by_clusters(documents: DataFrame, examples: DataFrame, subjects: Da
 
     spark = documents.sparkSession
     names = _subject_names(subjects)
-    docs = materialize(sentence_terms(documents).select("doc_id", F.flatten("sentences").alias("terms")).where(F.size("terms") > 0), "p8-terms")
+    told = labelled(examples)
+    breaks = common_ideographs(told)
+    docs = materialize(sentence_terms(documents, breaks).select("doc_id", F.flatten("sentences").alias("terms")).where(F.size("terms") > 0), "p8-terms")
     if docs.isEmpty():
         return spark.createDataFrame([], "doc_id bigint, leaf int, subject string, weight double")
     counted = HashingTF(inputCol="terms", outputCol="tf", numFeatures=FEATURES).transform(docs)
@@ -229,8 +253,7 @@ def subjects_by_clusters(documents: DataFrame, examples: DataFrame, subjects: Da
     everything = sizes.agg(F.sum("size").alias("all_size"))
     rate = by_leaf.join(corpus, "term").join(sizes, "leaf").join(F.broadcast(everything)).withColumn("lift", (F.col("n") / F.col("size")) / (F.col("all_n") / F.col("all_size")))
     apart = rate.where("n >= 3 and lift > 1.5").withColumn("worth", F.col("n") / F.col("size") * F.log2("lift"))
-    labelled = examples.where("text is not null and subject is not null").orderBy("example_id").limit(EXAMPLES_BOUND).select("subject", "text").collect()
-    start = {t: s for t, s in example_lexicon([(r["subject"], r["text"]) for r in labelled]).items() if s in names}
+    start = {t: s for t, s in example_lexicon(told, breaks).items() if s in names}
     known = spark.createDataFrame(list(start.items()) or [("", "")], "term string, subject string")
     votes = apart.join(known, "term").groupBy("leaf", "subject").agg(F.sum("worth").alias("worth"))
     share = votes.withColumn("weight", F.col("worth") / F.sum("worth").over(Window.partitionBy("leaf"))).where(F.col("weight") >= LEAST_SHARE)
