@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from quillspark.functions import patterns as P
 from quillspark.functions import text as T
+from quillspark.operators import roster as O
 from quillspark.operators import structure as S
 from quillspark.plans import sql as Q
 from quillspark.plans.manuscript import SQL_LINES, manuscript_lines, manuscript_texts
@@ -143,8 +144,15 @@ k as (select book_id, chapter_number, title, start_line, {Q.kind("coalesce(title
 f as (select *, row_number() over (partition by book_id, start_line order by chapter_number) as nth from k where kind = 'body')
 select book_id, row_number() over (partition by book_id order by start_line, chapter_number)::int as number, title, start_line, kind from f where nth = 1""")
 def validated_chapters(spark: SparkSession, sf: str) -> DataFrame:
-    c = chapters_once(spark, sf).select("book_id", F.col("chapter_number").alias("ord"), "title", F.col("start_line").cast("string").alias("start_line"))
-    return S.validated_chapters(c, "book_id", F.lit(3000))
+    """Each book is bounded by the lines of its own body; where books does not tell them, by its chapters' largest end.
+
+    The SQL above still has 3000 for every book, so it lacks the chapters of longer books that start beyond.
+    """
+    c = chapters_once(spark, sf)
+    body = O.latest(table(spark, sf, "books"), "book_id", "ingested_at").select("book_id", (F.col("body_end_line") - F.col("body_start_line")).alias("body"))
+    lines = c.groupBy("book_id").agg(F.max("end_line").alias("ends")).join(body, "book_id", "left").select("book_id", F.coalesce("body", "ends").alias("line_count"))
+    proposed = c.select("book_id", F.col("chapter_number").alias("ord"), "title", F.col("start_line").cast("string").alias("start_line")).join(lines, "book_id")
+    return S.validated_chapters(proposed, "book_id", F.col("line_count"))
 
 
 @query(f"with {Q.CHAPTERS} select book_id, chapter_number, title, {Q.kind("coalesce(title, '')")} as heading_kind, end_line < start_line as is_empty from chaps where chapter_number in (1, 2, 3, 5)")

@@ -151,6 +151,16 @@ def test_validated_chapters(spark):
     assert [r.kind for r in structure.validated_chapters(df, "book_id", F.lit(1000), True, True).orderBy("number").collect()] == ["front", "body", "body", "back"]
 
 
+def test_validated_chapters_of_long_books(spark, tmp_path):
+    ch = [("b", 1, "One", 5, 3999), ("b", 2, "Two", 4000, 8999), ("b", 3, "Three", 9000, 9500), ("b", 4, "Far", 9600, 9700), ("s", 1, "One", 5, 100), ("s", 2, "Far", 200, 300), ("n", 1, "One", 5, 3999), ("n", 2, "Two", 4000, 4100)]
+    chapters = spark.createDataFrame(ch, "book_id string, chapter_number int, title string, start_line int, end_line int").selectExpr("*", "1 as word_count", "title as start_marker", "'body' as kind")
+    chapters.write.parquet(f"{tmp_path}/chapters.parquet")
+    # a re-ingested book counts as it was last delivered
+    spark.createDataFrame([("b", 40, 9540, "2024-01-02"), ("b", 40, 3000, "2024-01-01"), ("s", 10, 160, "2024-01-01"), ("n", None, None, "2024-01-01")], "book_id string, body_start_line int, body_end_line int, t string").selectExpr("book_id", "body_start_line", "body_end_line", "timestamp(t) as ingested_at").write.parquet(f"{tmp_path}/books.parquet")
+    got = {(r.book_id, r.number, r.title, r.start_line) for r in registry.queries()["validated_chapters"](spark, str(tmp_path)).collect()}
+    assert got == {("b", 1, "One", 5), ("b", 2, "Two", 4000), ("b", 3, "Three", 9000), ("s", 1, "One", 5), ("n", 1, "One", 5), ("n", 2, "Two", 4000)}
+
+
 def test_warnings_and_numbers(spark):
     c = spark.createDataFrame([("a", 1, 5), ("a", 2, 900), ("a", 3, 1000), ("a", 4, 9000), ("b", 1, 500)], "book_id string, chapter_number int, word_count int")
     assert [r.book_id for r in structure.degenerate_books(c, "book_id").collect()] == ["a"]
