@@ -83,8 +83,12 @@ def discovered_characters(texts: DataFrame, factory: Callable[[], R.Resolver], r
     return found.where(~T.is_placeholder(F.col("name")))
 
 
-def attribute(segs: DataFrame, roster: DataFrame, factory: Callable[[], R.Resolver] | None, config: Config) -> DataFrame:
-    """Speakers: tags first, then the passes of a resolver where one is given; the rest is ``Unknown``."""
+def attribute(segs: DataFrame, roster: DataFrame, factory: Callable[[], R.Resolver] | None, config: Config, validator: Callable[[], R.Resolver] | None = None) -> DataFrame:
+    """Speakers: tags first, then the passes of a resolver where one is given; the rest is ``Unknown``.
+
+    The blind pass and the tie-break ask the validator, by default the same resolver.
+    """
+    validator = validator or factory
     amap = A.map_of_aliases(A.alias_map(roster, "book_id"), "book_id")
     said = materialize(A.anchors(segs.join(amap, "book_id", "left"), KEY).withColumn("speaker", F.col("anchor")), "anchored")
     if factory is not None:
@@ -95,17 +99,18 @@ def attribute(segs: DataFrame, roster: DataFrame, factory: Callable[[], R.Resolv
         told = materialize(A.spread_tag_answers(told, A.kept_answers(answers, tags, KEY).withColumn("ord", F.lit(0)), KEY), "tagged")
         asked = A.unresolved(told)
         # a pass is asked once: its answers are a table before anything is compared
-        ask = lambda kind, rows: materialize(A.kept_answers(R.answered(R.requests(told, rows, names, KEY, kind, config.chunk_size), factory, KEY, config.max_retries), rows, KEY), kind)
-        a, b = ask("attribute", asked), ask("verify", asked)
+        ask = lambda kind, rows, by: materialize(A.kept_answers(R.answered(R.requests(told, rows, names, KEY, kind, config.chunk_size), by, KEY, config.max_retries), rows, KEY), kind)
+        a, b = ask("attribute", asked, factory), ask("verify", asked, validator)
         differ = a.alias("a").join(b.alias("b"), [*KEY, "seg_idx"]).where("a.speaker <> b.speaker").select(*KEY, "seg_idx")
-        settled = A.reconcile(a, b, ask("settle", differ), asked, KEY).select(*KEY, "seg_idx", F.col("speaker").alias("settled"))
+        settled = A.reconcile(a, b, ask("settle", differ, validator), asked, KEY).select(*KEY, "seg_idx", F.col("speaker").alias("settled"))
         said = told.join(settled, [*KEY, "seg_idx"], "left").withColumn("speaker", F.coalesce(F.nullif("speaker", F.lit("")), "settled")).drop("settled", "new_para")
     return said.withColumn("speaker", F.when(F.col("seg_type") == "dialogue", F.coalesce("speaker", F.lit("Unknown")))).drop("amap")
 
 
-def run(texts: DataFrame, config: Config, factory: Callable[[], R.Resolver] | None = None) -> DataFrame:
-    """(book_id, document) of books (book_id, text)."""
+def run(texts: DataFrame, config: Config, factory: Callable[[], R.Resolver] | None = None, validator: Callable[[], R.Resolver] | None = None) -> DataFrame:
+    """(book_id, document) of books (book_id, text); the validator, by default the same resolver, checks speakers and is the critic."""
     spark = texts.sparkSession
+    validator = validator or factory
 
     def stage(n: int, name: str, df: DataFrame) -> DataFrame:
         path = f"{config.stage_path(n)}/{name}"
@@ -125,13 +130,13 @@ def run(texts: DataFrame, config: Config, factory: Callable[[], R.Resolver] | No
     rolling = stage(5, "rosters", O.rolling_rosters(found, first, "book_id"))
     last = rolling.groupBy("book_id").agg(F.max("chapter_number").alias("chapter_number"))
     roster = rolling.join(last, KEY, "left_semi")
-    done = stage(5, "segments", attribute(segs, roster, factory, config).withColumn("pronunciation_hints", F.array().cast("array<string>")))
+    done = stage(5, "segments", attribute(segs, roster, factory, config, validator).withColumn("pronunciation_hints", F.array().cast("array<string>")))
     quality = None
     if factory is not None and not config.no_critic:
         # the critic reads finished chapters; named tags outrank it
         s = G.with_neighbours(done, KEY)
         reqs = R.requests(s, s, roster.select("book_id", "ord", "name"), KEY, "critic", config.chunk_size)
-        said = stage(6, "critic", R.critiques(reqs, factory, KEY))
+        said = stage(6, "critic", R.critiques(reqs, validator, KEY))
         better, issues, quality = R.judged(s, said, KEY, config.chunk_size)
         done = materialize(A.corrections(done, better, KEY), "corrected")
         kept = first.where("anchor is not null").groupBy("book_id").agg(F.collect_set(F.lower("anchor")).alias("names"))
@@ -147,6 +152,14 @@ def run(texts: DataFrame, config: Config, factory: Callable[[], R.Resolver] | No
     return Z.documents(shown, chaps, finished, final, stats, "book_id", config.processing_config())
 
 
+def factories(config: Config) -> tuple[Callable[[], R.Resolver] | None, Callable[[], R.Resolver] | None]:
+    """What makes the resolvers of the processing and of the validation model; none without a processing model."""
+    if not config.processing_model:
+        return None, None
+    of = lambda model: lambda: R.HttpResolver(config.base_url, model, config.api_key)
+    return of(config.processing_model), of(config.validation_model)
+
+
 def main(argv: list[str] | None = None) -> int:
     """Command line: a folder of books in, one line of JSON per book out."""
     from quillspark.plans.cli import parsed_arguments
@@ -158,8 +171,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("quillspark").getOrCreate()
     try:
         texts = B.read_books(spark, source)
-        factory = (lambda: R.HttpResolver(config.base_url, config.processing_model, config.api_key)) if config.processing_model else None
-        B.write_documents(run(texts, config, factory), config.output_file or f"{config.stage_path(7)}/{Z.output_name(config.book_id or 'books', config.chapters_only)}")
+        B.write_documents(run(texts, config, *factories(config)), config.output_file or f"{config.stage_path(7)}/{Z.output_name(config.book_id or 'books', config.chapters_only)}")
     except KeyboardInterrupt:
         return 130
     except Exception as e:

@@ -399,6 +399,38 @@ def test_sources_and_pipeline(spark, tmp_path):
     assert only.count() >= 1
 
 
+class Named:
+    """Answers every flagged line, and as a critic says so, under one name; notes what it was asked."""
+
+    def __init__(self, name, log):
+        self.name, self.log = name, log
+
+    def resolve(self, system, user, schema):
+        kind = next(k for k, v in resolver.SYSTEM.items() if system.startswith(v.split("\n")[0]))
+        with open(self.log, "a") as f:
+            f.write(f"{self.name} {kind}\n")
+        if kind == "discover":
+            return '{"characters": [{"name": "Lucy"}, {"name": "Ann"}]}'
+        return __import__("json").dumps({"attributions": [{"index": int(i), "speaker": self.name} for i in re.findall(r"^(\d+)\.[^\n]*\[ASKED\]", user, re.M)], "overall_quality": 0.25 if self.name == "Ann" else 0.75})
+
+
+def test_validator_checks(spark, tmp_path, monkeypatch):
+    from quillspark.plans import pipeline
+
+    log = str(tmp_path / "log")
+    prose = "The weir was low that day and nobody came by it at all. " * 8
+    text = "\n".join(["CHAPTER I", "", "“Come.” “Go.”", "", prose])
+    texts = spark.createDataFrame([("41", text)], "book_id string, text string")
+    config = Config(cache_dir=str(tmp_path / "cache"), processing_model="A", validation_model="B")
+    d = __import__("json").loads(run(texts, config, lambda: Named("Lucy", log), lambda: Named("Ann", log)).first().document)
+    said = [s["speaker"] for c in d["chapters"] for s in c["processed"]["segments"] if s["type"] == "dialogue"]
+    asked = {tuple(x.split()) for x in open(log)}
+    assert said == ["Ann", "Ann"] and d["statistics"]["discovery_confidence"]["avg_confidence"] == 0.25
+    assert {k for n, k in asked if n == "Ann"} == {"verify", "settle", "critic"} and {k for n, k in asked if n == "Lucy"} == {"chapters", "discover", "attribute"}
+    monkeypatch.setattr(resolver, "HttpResolver", lambda url, model, key: model)
+    assert [f() for f in pipeline.factories(config)] == ["A", "B"] and [f() for f in pipeline.factories(Config(processing_model="A"))] == ["A", "A"] and pipeline.factories(Config()) == (None, None)
+
+
 def test_stream(spark, tmp_path):
     from quillspark.streaming.roster import chapter_entries, rolling_roster_stream
 
