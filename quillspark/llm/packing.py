@@ -41,8 +41,6 @@ from quillspark.llm.tables import table
 
 DIMS, BITS = 3, 10
 BLOCK = 4096
-#: Blocks of up to this many items are packed by subset sums too where that can save a container.
-SUBSET_ITEMS = 400
 
 
 def hilbert_keys(x: np.ndarray, bits: int) -> np.ndarray:
@@ -179,8 +177,7 @@ def pack(sizes: list[int], cap: int) -> tuple[int, list[int]]:
     best = _best_fit(sizes, cap, list(range(len(sizes))))
     if best[0] > least:
         falling = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-        ways = [_best_fit, _subset_sums] if len(sizes) <= SUBSET_ITEMS else [_best_fit]
-        for way in ways:
+        for way in (_best_fit, _subset_sums):
             if best[0] > least and (other := way(sizes, cap, falling))[0] < best[0]:
                 best = other
     return best

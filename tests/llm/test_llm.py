@@ -147,6 +147,13 @@ def test_packing():
         assert -(-sum(sizes) // cap) <= n <= falling
 
 
+def test_packing_of_large_blocks():
+    """Subset sums are tried at every size: here falling size alone takes 204."""
+    random.seed(0)
+    sizes = [random.randint(20, 60) for _ in range(500)]
+    assert packing.pack(sizes, 100)[0] == 200
+
+
 def test_hilbert_neighbours():
     side = 8
     grid = np.array([(x, y, z) for x in range(side) for y in range(side) for z in range(side)])
