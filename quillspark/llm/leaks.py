@@ -13,8 +13,10 @@ each is verified exactly along its diagonal: a run of at least ``LEAST_WORDS`` w
 the first and the last in common, of which at most one in eight differs, across one gap (an unknown layout mark, a
 missing word) if need be.
 
-A window can only hold a leak if all but two of its words occur in passages, so other
-windows are not embedded; this loses nothing.
+A window without a gap can only hold a leak if all but two of its words occur in passages, so
+other windows are not embedded. A run across a gap may have no such window; it is found by
+seeds: it always has two stretches of ``SEED`` words in common with the passage (14 words in
+three pieces are the fewest), so passages with two such stretches are candidates too.
 
 The passages are a fixed small table. Their index goes to the tasks only when it has
 at most ``INDEX_BOUND`` keys, which is checked; every document is then one pass
@@ -46,6 +48,8 @@ WALKS, SAMPLES, STEPS_PER_KEY, STEPS = 6, 4, 5, 26
 INDEX_BOUND = 4_000_000
 #: Words between two halves of a run that a layout mark may put in.
 GAP = 6
+#: Words in a row in common, of which every run across a gap has ``LEAST_SEEDS``.
+SEED, LEAST_SEEDS = 5, 2
 
 _MARKS = re.compile(r"\[[^\]\n]{0,60}\]|(?m:^[^\w\n]*(?:(?:pp?|page|pag|pág|seite|s|стр|fol)\.?[^\w\n]*)?\d{0,5}[^\w\n]*$)", re.I)
 _IN_WORD = re.compile(r"(?<=\w)(?:['’\-‐‑](?=\w)|[-‐‑]\s*\n\s*(?=\w))")
@@ -98,6 +102,21 @@ def window_keys(windows: np.ndarray) -> np.ndarray:
     return keys
 
 
+def seed_keys(ids: np.ndarray) -> np.ndarray:
+    """A hash of every ``SEED`` words in a row."""
+    n = max(len(ids) - SEED + 1, 0)
+    k = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(SEED):
+            k = _mix(k * np.uint64(0x2545F4914F6CDD1D) + ids[j : j + n].astype(np.uint64) + np.uint64(1))
+    return k
+
+
+def across(seeds: list[int], doc: int, passage: int) -> list[int]:
+    """The diagonals on which the first part of a run across a gap can be when a part of it is on one of ``seeds``."""
+    return sorted({a for d in seeds for a in range(max(d - GAP, 1 - passage), min(d + 1, doc - 1) + 1)})
+
+
 def _runs(same: np.ndarray) -> bool:
     """Whether some run of at least LEAST_WORDS has at most one difference in ONE_IN."""
     if len(same) < LEAST_WORDS:
@@ -124,6 +143,8 @@ def _edges(doc: np.ndarray, passage: np.ndarray, diagonal: int) -> np.ndarray:
 
 def holds(doc: np.ndarray, passage: np.ndarray, diagonals: list[int]) -> bool:
     """Whether the document holds a long enough part of the passage on or across the diagonals."""
+    if not diagonals:
+        return False
     if any(_runs(_edges(doc, passage, d)) for d in diagonals):
         return True
     # words in common on each diagonal around
@@ -169,6 +190,24 @@ class Index:
         self.keys = self.keys[order]
         self.owner = (np.concatenate(owner) if keys else np.zeros(0, np.int64))[order]
         self.offset = (np.concatenate(offset) if keys else np.zeros(0, np.int64))[order]
+        seeds = {n: seed_keys(p) for n, p in self.passages.items()}
+        flat = np.concatenate([np.zeros(0, np.uint64), *seeds.values()])
+        by_key = np.argsort(flat, kind="stable")
+        self.seeds = flat[by_key]
+        self.seed_owner = np.concatenate([np.zeros(0, np.int64), *(np.full(len(k), n, np.int64) for n, k in seeds.items())])[by_key]
+        self.seed_offset = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(k)) for k in seeds.values())])[by_key]
+
+    def seeded(self, ids: np.ndarray) -> dict[int, list[int]]:
+        """The diagonals of seeds in common with passages that have enough of them."""
+        c = np.concatenate(([0], np.cumsum(ids > 0)))
+        starts = np.flatnonzero(c[SEED:] - c[:-SEED] == SEED)
+        keys = seed_keys(ids)[starts]
+        lo, hi = np.searchsorted(self.seeds, keys, "left"), np.searchsorted(self.seeds, keys, "right")
+        n = hi - lo
+        at = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        owner, diagonal = self.seed_owner[at], np.repeat(starts, n) - self.seed_offset[at]
+        numbers, counts = np.unique(owner, return_counts=True)
+        return {int(x): np.unique(diagonal[owner == x]).tolist() for x in numbers[counts >= LEAST_SEEDS]}
 
     def candidate_windows(self, ids: np.ndarray) -> np.ndarray:
         """Starts of the windows that can hold a leak."""
@@ -179,6 +218,16 @@ class Index:
 
     def search(self, ids: np.ndarray) -> list[int]:
         """The passages that leaked into a document of these word codes."""
+        if len(ids) < LEAST_WORDS:
+            return []
+        found = self._walked(ids)
+        for number, seeds in self.seeded(ids).items():
+            if number not in found and holds(ids, p := self.passages[number], across(seeds, len(ids), len(p))):
+                found.append(number)
+        return found
+
+    def _walked(self, ids: np.ndarray) -> list[int]:
+        """The passages found by walks."""
         starts = self.candidate_windows(ids)
         if not len(starts):
             return []
@@ -214,13 +263,16 @@ def _hashed(words: list[str]) -> np.ndarray:
 
 
 def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, words, key, pos) of every window, where no index is at hand."""
+    """Rows (id, key, pos, seed) of every window and every seed, where no index is at hand."""
     for b in batches:
         for row, words in zip(b.column(0).to_pylist(), word_lists(b.column(1).to_pylist())):
             if len(words) < LEAST_WORDS:
                 continue
-            keys = window_keys(np.lib.stride_tricks.sliding_window_view(_hashed(words), LEAST_WORDS))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(keys.size, row)), pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(np.arange(len(keys), dtype=np.int32), keys.shape[1]))], ["id", "key", "pos"])
+            ids = _hashed(words)
+            keys, seeds = window_keys(np.lib.stride_tricks.sliding_window_view(ids, LEAST_WORDS)), seed_keys(ids)
+            n = keys.size + len(seeds)
+            pos = np.concatenate((np.repeat(np.arange(len(keys), dtype=np.int32), keys.shape[1]), np.arange(len(seeds), dtype=np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row)), pa.array(np.concatenate((keys.ravel(), seeds)).view(np.int64)), pa.array(pos), pa.array(np.arange(n) >= keys.size)], ["id", "key", "pos", "seed"])
 
 
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +280,7 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         rows = b.to_pylist()
         texts = word_lists([r["text"] for r in rows])
         passages = word_lists([r["passage_text"] for r in rows])
-        keep = [(r["doc_id"], r["passage"]) for r, t, p in zip(rows, texts, passages) if holds(_hashed(t), _hashed(p), r["diagonals"])]
+        keep = [(r["doc_id"], r["passage"]) for r, t, p in zip(rows, texts, passages) if holds(_hashed(t), _hashed(p), sorted({*r["diagonals"], *across(r["seeds"], len(t), len(p))}))]
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.int64()), pa.array([k[1] for k in keep], pa.int64())], ["doc_id", "passage"])
 
 
@@ -244,13 +296,15 @@ def leaks(documents: DataFrame, items: DataFrame, index_bound: int = INDEX_BOUND
         index = Index([(r["number"], w) for r, w in zip(rows, word_lists([r["passage"] for r in rows]))])
         found = texts.mapInArrow(lambda it: _search_batches(it, index), "doc_id bigint, passage bigint")
     else:
-        kind = "id bigint, key bigint, pos int"
-        mine = texts.mapInArrow(_key_batches, kind).select(F.col("id").alias("doc_id"), "key", F.col("pos").alias("p"))
-        theirs = passages.select("number", "passage").mapInArrow(_key_batches, kind).select(F.col("id").alias("passage"), "key", F.col("pos").alias("q"))
-        met = mine.join(theirs, "key").select("doc_id", "passage", (F.col("p") - F.col("q")).alias("d")).distinct()
-        met = materialize(met.groupBy("doc_id", "passage").agg(F.collect_set("d").alias("diagonals")), "p7-candidates")
+        kind = "id bigint, key bigint, pos int, seed boolean"
+        mine = texts.mapInArrow(_key_batches, kind).select(F.col("id").alias("doc_id"), "key", "seed", F.col("pos").alias("p"))
+        theirs = passages.select("number", "passage").mapInArrow(_key_batches, kind).select(F.col("id").alias("passage"), "key", "seed", F.col("pos").alias("q"))
+        met = mine.join(theirs, ["key", "seed"]).groupBy("doc_id", "passage", "seed", (F.col("p") - F.col("q")).alias("d")).agg(F.count("*").alias("n"))
+        pairs = met.groupBy("doc_id", "passage").agg(F.collect_set(F.when(~F.col("seed"), F.col("d"))).alias("diagonals"), F.collect_set(F.when(F.col("seed"), F.col("d"))).alias("seeds"), F.sum(F.when(F.col("seed"), F.col("n"))).alias("n"))
+        pairs = pairs.withColumn("seeds", F.when(F.col("n") >= LEAST_SEEDS, F.col("seeds")).otherwise(F.array().cast("array<int>"))).where((F.size("diagonals") > 0) | (F.size("seeds") > 0))
+        met = materialize(pairs.drop("n"), "p7-candidates")
         full = met.join(texts, "doc_id").join(passages.select(F.col("number").alias("passage"), F.col("passage").alias("passage_text")), "passage")
-        found = full.select("doc_id", "passage", "text", "passage_text", "diagonals").mapInArrow(_verify_batches, "doc_id bigint, passage bigint")
+        found = full.select("doc_id", "passage", "text", "passage_text", "diagonals", "seeds").mapInArrow(_verify_batches, "doc_id bigint, passage bigint")
     return found.join(by_passage.select(F.col("number").alias("passage"), "item_id"), "passage").select("doc_id", "item_id").distinct()
 
 

@@ -247,6 +247,24 @@ def test_leaks(spark, bound):
     assert leaks.leaks(docs.limit(0), items, bound).count() == 0 and leaks.leaks(docs, items.limit(0), bound).count() == 0
 
 
+@pytest.mark.parametrize("bound", [leaks.INDEX_BOUND, 1])
+def test_leaks_across_gaps(spark, bound):
+    """Runs cut by words that no passage has, with and without a replaced word beside."""
+    p, docs, want = passage(1), [], set()
+    strange = lambda n: " ".join(f"qq{i}" for i in range(n))
+    for n in (15, 18, 22):
+        for gap in (1, 2, 3, 4, 6):
+            for cut in (3, n // 2, n - 4):
+                docs.append((len(docs), f"{strange(9)} {' '.join(p[4 : 4 + cut])} {strange(gap)} {' '.join(p[4 + cut : 4 + n])} {strange(9)}"))
+    words = p[4:19]
+    words[3] = "zzz"
+    docs.append((len(docs), f"{strange(9)} {' '.join(words[:9])} {strange(6)} {' '.join(words[9:])} {strange(9)}"))
+    want = {(d, 1) for d, _ in docs}
+    docs += [(900, f"{' '.join(p[4:11])} {strange(8)} {' '.join(p[11:19])}"), (901, f"{' '.join(p[4:10])} {strange(4)} {' '.join(p[10:18])}")]
+    got = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(p))], "item_id long, passage string"), bound)
+    assert {tuple(r) for r in got.collect()} == want
+
+
 def test_leak_recall():
     """Windows with two changed words share a key with the original almost always."""
     random.seed(4)
