@@ -49,9 +49,37 @@ _NESTED = rf"(?:{_FLAT}|\[(?:{_FLAT}|\[{_FLAT}\])*\])*"
 ILLUSTRATION = rf"(?i)\[illustration(?:{_FLAT}(?:\[{_FLAT}(?:\[{_FLAT}\]{_FLAT})*\]{_FLAT})*)(?:\]|$)"
 
 
+#: A block that ILLUSTRATION does not match as a whole: nested deeper, or open inside.
+_DEEPER = ILLUSTRATION.replace(r"\[illustration", r"\[illustration(?!", 1) + ")"
+
+
+def _strip_counted(x: Column) -> Column:
+    """Without ``[Illustration ...]`` blocks, by counting brackets over the pieces that begin with one."""
+    pieces = F.split(x, r"(?=[\[\]])")
+
+    def step(acc: Column, p: Column) -> Column:
+        inside = acc["open"] > 0
+        opens = F.lower(F.substring(p, 1, 13)) == "[illustration"
+        change = F.when(p.startswith("["), 1).when(p.startswith("]"), -1).otherwise(0)
+        left = F.when(inside, acc["open"] + change).otherwise(F.when(opens, 1).otherwise(0))
+        first = F.when(inside, acc["first"]).otherwise(acc["at"])
+        blocks = F.when(inside & (left == 0), F.array_append(acc["blocks"], F.struct(first.alias("a"), acc["at"].alias("b")))).otherwise(acc["blocks"])
+        return F.struct((acc["at"] + 1).alias("at"), left.alias("open"), first.alias("first"), blocks.alias("blocks"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("open"), F.lit(0).alias("first"), F.array().cast("array<struct<a:int,b:int>>").alias("blocks"))
+    end = lambda a: F.when(a["open"] > 0, F.array_append(a["blocks"], F.struct(a["first"].alias("a"), F.lit(2**31 - 1).alias("b")))).otherwise(a["blocks"])
+    blocks = F.aggregate(pieces, zero, step, end)
+    # of the piece that closes a block only the bracket goes
+    kept = lambda p, i: F.when(F.exists(blocks, lambda b: b["b"] == i), F.substr(p, F.lit(2))).when(F.exists(blocks, lambda b: (b["a"] <= i) & (i < b["b"])), "").otherwise(p)
+    return F.array_join(F.transform(pieces, kept), "")
+
+
 def strip_illustrations(x: Column) -> Column:
-    """Without ``[Illustration ...]`` blocks, brackets nested to three levels; an open block ends with the text."""
-    return F.regexp_replace(x, ILLUSTRATION, "")
+    """Without ``[Illustration ...]`` blocks; an open block ends with the text.
+
+    The pattern knows brackets nested to three levels; texts with a deeper block are folded over their brackets.
+    """
+    return F.when(x.rlike(_DEEPER), _strip_counted(x)).otherwise(F.regexp_replace(x, ILLUSTRATION, ""))
 
 
 def fingerprint(x: Column) -> Column:

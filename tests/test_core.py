@@ -54,6 +54,27 @@ def test_text_functions(spark):
     assert values(spark, ["a\n\n b\nc \n\n\n\nd", None], T.paragraphs) == [["a", "b c", "d"], None]
 
 
+def counted_illustrations(text):
+    out, i = [], 0
+    while i < len(text):
+        if text[i : i + 13].lower() == "[illustration":
+            depth, i = 1, i + 1
+            while i < len(text) and depth:
+                depth += {"[": 1, "]": -1}.get(text[i], 0)
+                i += 1
+        else:
+            out.append(text[i])
+            i += 1
+    return "".join(out)
+
+
+def test_deep_illustrations(spark):
+    random.seed(3)
+    texts = ["x[Illustration: a [b [c [d [e] f] g] h] i]y", "x [illustration a [b", "[a] ]x[Illustration [b [c [d]]]]y]"]
+    texts += ["".join(random.choice(["[Illustration", "[", "]", "]", "a", "é\n"]) for _ in range(random.randint(1, 30))) for _ in range(400)]
+    assert values(spark, [*texts, None], T.strip_illustrations) == [*map(counted_illustrations, texts), None]
+
+
 def test_sentences(spark):
     cases = {
         "Mr. Fenn made no answer. Mrs. Oak and Capt. Weir arrived.": 2, "J. Ross Oak sailed. He fell.": 2, "Well... said he. Yes!": 2, "“Stop!” he cried. “Go.” She went.": 3, "one": 1, "": 0,
