@@ -55,7 +55,8 @@ def documents(books: DataFrame, chaps: DataFrame, segs: DataFrame, roster: DataF
     seg = F.struct(F.col("seg_type").alias("type"), "text", "speaker", F.coalesce("pronunciation_hints", F.array().cast("array<string>")).alias("pronunciation_hints"), "notes")
     per_chapter = segs.groupBy(key, "chapter_number").agg(F.transform(F.array_sort(F.collect_list(F.struct("seg_idx", seg.alias("s")))), lambda x: x["s"]).alias("segments"))
     title = F.coalesce("start_marker", "title")
-    chapter = chaps.join(per_chapter, [key, "chapter_number"]).select(
+    # a chapter without segments stays, with none
+    chapter = chaps.join(per_chapter, [key, "chapter_number"], "left").withColumn("segments", F.coalesce("segments", F.array().cast(per_chapter.schema["segments"].dataType))).select(
         key, "chapter_number",
         F.struct(
             F.struct(F.col("chapter_number").alias("number"), "title", F.lit("").alias("text"), "word_count", title.alias("start_marker")).alias("chapter"),

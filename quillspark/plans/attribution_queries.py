@@ -238,13 +238,12 @@ def book_documents(spark: SparkSession, sf: str) -> DataFrame:
     segs = segments_once(spark, sf).withColumn("pronunciation_hints", F.array().cast("array<string>"))
     c, p = chapters_once(spark, sf), people(spark, sf)
     b = O.latest(table(spark, sf, "books"), "book_id", "ingested_at")
-    d = Z.documents(b, _all_chapters(c, segs), segs, p, Z.statistics(segs, c, p, None, "book_id"), "book_id")
-    n = F.get_json_object("document", "$.statistics.total_chapters").cast("bigint")
-    return d.select("book_id", n.alias("chapters"), F.from_json("document", "statistics struct<total_words: bigint>, processing_config struct<chunk_size: int>")["processing_config"]["chunk_size"].isNotNull().alias("is_json"))
-
-
-def _all_chapters(c: DataFrame, segs: DataFrame) -> DataFrame:
-    return c.join(segs.select(*CHAPTER).distinct(), CHAPTER, "left_semi")
+    d = Z.documents(b, c, segs, p, Z.statistics(segs, c, p, None, "book_id"), "book_id")
+    # the elements of the document count; where their segments are not those of its statistics, it is not whole
+    read = F.from_json("document", "chapters array<struct<processed: struct<segments: array<struct<type: string>>>>>, statistics struct<total_segments: bigint>, processing_config struct<chunk_size: int>")
+    told = F.aggregate("r.chapters", F.lit(0).cast("bigint"), lambda n, x: n + F.size(x["processed"]["segments"]))
+    whole = F.col("r.processing_config.chunk_size").isNotNull() & (told == F.col("r.statistics.total_segments"))
+    return d.select("book_id", read.alias("r")).select("book_id", F.size("r.chapters").cast("bigint").alias("chapters"), F.coalesce(whole, F.lit(False)).alias("is_json"))
 
 
 @query()

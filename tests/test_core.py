@@ -75,6 +75,15 @@ def test_deep_illustrations(spark):
     assert values(spark, [*texts, None], T.strip_illustrations) == [*map(counted_illustrations, texts), None]
 
 
+def test_document_keeps_chapters_without_segments(spark):
+    chaps = spark.createDataFrame([("b", 1, "One", 3, None), ("b", 2, "Two", 0, None)], "book_id string, chapter_number int, title string, word_count int, start_marker string")
+    segs = spark.createDataFrame([("b", 1, 0, "narration", "t", None, None, None)], "book_id string, chapter_number int, seg_idx int, seg_type string, text string, speaker string, pronunciation_hints array<string>, notes string")
+    people = spark.createDataFrame([], "book_id string, ord int, name string, aliases array<string>, pronunciation_hints array<string>, first_appearance_chapter int")
+    b = spark.createDataFrame([("b", "T", "A", "en", "1", "", "")], "book_id string, title string, author string, book_lang string, gutenberg_id string, release_date string, credits string")
+    d = __import__("json").loads(assemble.documents(b, chaps, segs, people, assemble.statistics(segs, chaps, people, None, "book_id"), "book_id").first().document)
+    assert [(c["chapter"]["number"], len(c["processed"]["segments"])) for c in d["chapters"]] == [(1, 1), (2, 0)] and d["statistics"]["total_chapters"] == 2
+
+
 def test_sentences(spark):
     cases = {
         "Mr. Fenn made no answer. Mrs. Oak and Capt. Weir arrived.": 2, "J. Ross Oak sailed. He fell.": 2, "Well... said he. Yes!": 2, "“Stop!” he cried. “Go.” She went.": 3, "one": 1, "": 0,
