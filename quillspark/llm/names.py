@@ -68,7 +68,7 @@ ORG_WORDS = {
     "assurance": "assurance", "assur": "assurance", "assce": "assurance", "insurance": "insurance", "ins": "insurance", "canal": "canal", "bank": "bank", "limited": "limited", "ltd": "limited", "institute": "institute", "inst": "institute",
     "corporation": "corporation", "corp": "corporation", "college": "college", "coll": "college", "university": "university", "univ": "university", "committee": "committee", "comm": "committee", "council": "council", "club": "club", "union": "union", "house": "house", "press": "press", "works": "works", "mission": "mission", "manufacturing": "manufacturing", "mfg": "manufacturing",
 }
-#: Codes beyond this length, which no name has, block by themselves only.
+#: Codes beyond this length, which no name has, block by themselves and their two ends only.
 LONGEST_CODE = 40
 #: Least Jaro-Winkler similarity of two tokens that differ by a typing error.
 LEAST_SIMILAR = 0.8
@@ -154,6 +154,16 @@ def block_codes(token: str) -> list[str]:
     return sorted({c, *(c[:i] + c[i + 1 :] for i in range(len(c)))}) if 1 < len(c) <= LONGEST_CODE else [c]
 
 
+def half_codes(token: str) -> list[str]:
+    """Of a code about as long as LONGEST_CODE or longer its two ends: one slip leaves one of them whole."""
+    c, h = phonetic(token), LONGEST_CODE // 2 - 2
+    return [f"<{c[:h]}", f">{c[-h:]}"] if len(c) >= LONGEST_CODE - 2 else []
+
+
+def _codes(kind: str, token: str) -> list[str]:
+    return [kind + c for c in (*block_codes(token), *half_codes(token))]
+
+
 def _simple(name: str) -> str:
     t = unicodedata.normalize("NFD", name.replace("ø", "o").replace("Ø", "O").replace("ß", "ss"))
     return " ".join("".join(c for c in t if not unicodedata.combining(c)).replace("’", "'").lower().split())
@@ -221,13 +231,13 @@ def _keys(p: dict) -> list[str]:
         return ["a:" + p["words"]]
     if p["kind"] == "org":
         w = p["words"].split()
-        return ["a:" + "".join(x[0] for x in w), *("o:" + c for c in block_codes("".join(sorted(phonetic(x) for x in w))))]
-    keys = ["s:" + c for c in block_codes(p["sur"])]
+        return ["a:" + "".join(x[0] for x in w), *_codes("o:", "".join(sorted(phonetic(x) for x in w)))]
+    keys = _codes("s:", p["sur"])
     if p["how"] == "one":
         formal = NICKNAMES.get(p["sur"], p["sur"])
-        keys += ["g:" + c for c in block_codes(formal)] + (["g:" + c for c in block_codes(p["sur"])] if formal != p["sur"] else [])
+        keys += _codes("g:", formal) + (_codes("g:", p["sur"]) if formal != p["sur"] else [])
     if p["how"] in ("name", "nick"):
-        keys += ["g:" + c for c in block_codes(p["given"])]
+        keys += _codes("g:", p["given"])
     return keys
 
 
