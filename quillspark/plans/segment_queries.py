@@ -33,7 +33,9 @@ def segments_once(spark: SparkSession, sf: str, *columns: str | Column) -> DataF
     return s.select("segment_id", *(columns or SEGMENT_COLUMNS[1:])).distinct()
 
 
-WORDS = T.word_count(F.coalesce("text", F.lit(""))).alias("words")
+def words() -> Column:
+    """The words of a segment's text (a function: no Column is built before there is a session)."""
+    return T.word_count(F.coalesce("text", F.lit(""))).alias("words")
 
 
 def doc_segments(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +110,7 @@ fold as (select book_id, chapter_number, seg_idx, i, n as used, 1 as held, 0 as
 
 @query(f"with recursive {_WINDOWS} select book_id, chapter_number, seg_idx, window_id from fold")
 def segment_windows(spark: SparkSession, sf: str) -> DataFrame:
-    return W.segment_windows(segments_once(spark, sf, *CHAPTER, "seg_idx", WORDS), CHAPTER, 250)
+    return W.segment_windows(segments_once(spark, sf, *CHAPTER, "seg_idx", words()), CHAPTER, 250)
 
 
 @query(f"""with recursive {_WINDOWS},
@@ -116,7 +118,7 @@ starts as (select book_id, chapter_number, window_id, min(seg_idx) as first from
 select book_id, chapter_number, window_id, seg_idx, false as is_context from fold
 union all select s.book_id, s.chapter_number, s.window_id, f.seg_idx, true from fold f join starts s on s.book_id = f.book_id and s.chapter_number = f.chapter_number and f.seg_idx < s.first and f.seg_idx >= s.first - 8""")
 def context_windows(spark: SparkSession, sf: str) -> DataFrame:
-    return W.with_context(W.segment_windows(segments_once(spark, sf, *CHAPTER, "seg_idx", WORDS), CHAPTER, 250), CHAPTER)
+    return W.with_context(W.segment_windows(segments_once(spark, sf, *CHAPTER, "seg_idx", words()), CHAPTER, 250), CHAPTER)
 
 
 @query(f"""with recursive d as (select doc_id, text, string_split(text, chr(10) || chr(10)) as ps from documents where text is not null and {Q.word_count('text')} > 100),
