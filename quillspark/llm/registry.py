@@ -21,8 +21,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_forms": canonical.p5_forms,
         "p6_ids": encoding.p6_ids,
         "p7_found": leaks.p7_found,
-        "p8_method": subjects.p8_method,
         "p8_found": subjects.p8_found,
+        "p8_mixtures": subjects.p8_mixtures,
     }
 
 

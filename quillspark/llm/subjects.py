@@ -1,22 +1,24 @@
-"""Problem 8: the subjects of each document.
-
-Two operators.
-
-``subjects_by_clusters`` is the method the problem names: normalised TF-IDF vectors of
-whole documents, bisecting k-means, leaves labelled by the terms that set them apart,
-and for each document the mixture of subjects of its leaf.
-
-``subjects_by_sentences`` counts what is asked for: the share of a document's
-sentences that treat a subject. A leaf says what documents like this one are about
-on the whole; it cannot say whether a ninth or a seventh of this document's sentences treat
-a second subject. So each sentence is judged by a lexicon of subject terms. It starts
-with the terms of the labelled examples, and is carried over to the corpus: a term
-belongs to a subject if the *other* terms of the documents that have it do. Words of
-the narrative occur beside every subject and drop out, as do wrong labels; terms that no
-example has come in. All counts run over all documents and all their sentences.
+"""Problem 8: the subjects of each document, by clusters.
+
+Documents become normalised TF-IDF vectors (hashed to ``FEATURES`` places) and are
+clustered by bisecting k-means into up to ``LEAVES`` leaves, enough that languages,
+subjects and their pairs need not share one. A leaf is labelled by its discriminative
+terms, those that are more frequent in it than in the corpus: where they are terms of the
+labelled examples they vote for the examples' subjects, and the votes are the leaf's mixture
+of subjects. Through the leaves the labels reach the terms that no example has: a term
+stands for a subject if it sets some leaf apart and the leaves in which it occurs have
+that subject; words of the narrative occur in the leaves of every subject and stand for
+none.
+
+A document is a mixture too. Its sentences are placed one by one: a sentence belongs to
+the leaves' subject whose discriminative terms it holds (two or more, and more than of
+any other), or to none. The shares of its sentences are its weights, and it has the
+subjects with a weight of an eighth or more. All counts run over all documents and all their
+sentences; only the labelled examples are bounded (``EXAMPLES_BOUND``).
 
 Defined results: null, empty and blank texts have no subject; repeated rows repeat no
-result; a document may have no subject, one or several.
+result; a document may have no subject, one or several; a document with text always has a row
+in the mixtures, with a null subject where no sentence treats any.
 """
 
 from __future__ import annotations
@@ -25,7 +27,6 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,18 +39,22 @@ from quillspark.storage import materialize
 
 #: Share of a document's sentences from which it has a subject.
 LEAST_SHARE = 1 / 8
-#: A term belongs to a subject from this share of its documents' other terms, in at least so many documents.
-TERM_SHARE, TERM_DOCUMENTS = 0.42, 4
-#: The share must also exceed the subject's share of all evidence by this much.
+#: Leaves of the clustering, and places that terms are hashed to for it.
+LEAVES, FEATURES = 1024, 1 << 11
+#: A cluster of fewer documents is not divided.
+LEAST_LEAF = 20
+#: A term sets a leaf apart if so many of its documents have it, this many times the corpus' rate.
+APART_DOCUMENTS, APART_LIFT = 3, 1.5
+#: Share of a leaf's votes from which a subject is in its mixture.
+LEAF_SHARE = 0.3
+#: A term stands for a subject from this share of its occurrences by leaf, in at least so many documents.
+TERM_SHARE, TERM_DOCUMENTS = 0.4, 4
+#: The share must also exceed the subject's share of all terms by this much.
 OVER_BASE = 0.25
-#: Share of a term's documents that must have other subject terms: a subject's words keep company, narrative words need none.
-#: Each value is a round that carries the lexicon over to the corpus.
-TERM_TOLD = (0.6, 0.6, 0.6)
 #: Labelled examples to fit on; more are left out by the order of their ids.
 EXAMPLES_BOUND = 20_000
-#: Terms up to which the lexicon is sent to every task; beyond, it is joined.
+#: Terms up to which the lexicon is sent to every task; beyond, it is joined, with the same result.
 LEXICON_BOUND = 300_000
-LEAVES, FEATURES = 64, 1 << 13
 
 _TERM = re.compile(r"[^\W\d_㐀-鿿豈-\ufaff]{2,}|[㐀-鿿豈-\ufaff]+")
 
@@ -119,152 +124,108 @@ def _lexicons(b: pa.RecordBatch, lexicon: dict[str, str] | None) -> Iterator[dic
     if lexicon is not None:
         yield from (lexicon for _ in range(b.num_rows))
     else:
-        for x in b.column(2).to_pylist():
+        for x in b.column(3).to_pylist():
             yield {e["term"]: e["subject"] for e in x or []}
 
 
-def _carry_batches(batches: Iterator[pa.RecordBatch], lexicon: dict[str, str] | None, subjects: list[str]) -> Iterator[pa.RecordBatch]:
-    """Per term: for each subject the sum of the shares of its documents' other terms, the documents that have such terms, all its documents."""
-    number = {s: i for i, s in enumerate(subjects)}
-    width = len(subjects) + 2
-    index: dict[str, int] = {}
-    total = np.zeros((1 << 12, width))
+def clustered(sentences: DataFrame, leaves: int, features: int) -> DataFrame:
+    """(row, doc_id, sentences, leaf) of the documents with text."""
+    from pyspark.ml.clustering import BisectingKMeans
+    from pyspark.ml.feature import IDF, HashingTF, Normalizer
 
-    def rows() -> pa.RecordBatch:
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(index) + 1, dtype=np.int32) * width), pa.array(total[: len(index)].ravel()))
-        return pa.RecordBatch.from_arrays([pa.array(list(index), pa.string()), lists], ["term", "sums"])
+    docs = sentences.select("doc_id", "sentences", F.flatten("sentences").alias("terms")).where(F.size("sentences") > 0)
+    counted = materialize(HashingTF(inputCol="terms", outputCol="tf", numFeatures=features).transform(docs).drop("terms").withColumn("row", F.monotonically_increasing_id()), "p8-counted")
+    if counted.isEmpty():
+        return counted.select("row", "doc_id", "sentences", F.lit(0).alias("leaf"))
+    scaled = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2).fit(counted).transform(counted)
+    vectors = Normalizer(inputCol="tfidf", outputCol="features").transform(scaled)
+    # the fit reads nothing but the vectors and keeps them while it lasts
+    model = BisectingKMeans(k=leaves, maxIter=6, seed=42, minDivisibleClusterSize=LEAST_LEAF, featuresCol="features", predictionCol="leaf").fit(vectors.select("features"))
+    return materialize(model.transform(vectors).select("row", "doc_id", "sentences", "leaf"), "p8-leaves")
 
-    for b in slices(batches):
-        # one row per document and term: document, term, subject of the term, occurrences
-        doc, term, own, times = [], [], [], []
-        for d, (sentences, lex) in enumerate(zip(b.column(1).to_pylist(), _lexicons(b, lexicon))):
-            counts = Counter(t for s in sentences or [] for t in s)
-            doc += [d] * len(counts)
-            term += [index.setdefault(t, len(index)) for t in counts]
-            own += [number.get(lex.get(t, ""), -1) for t in counts]
-            times += counts.values()
-        if not term:
-            continue
-        d, t, k, n = np.array(doc), np.array(term), np.array(own), np.array(times, float)
-        has = k >= 0
-        hits = np.zeros((b.num_rows, len(subjects)))
-        np.add.at(hits, (d[has], k[has]), n[has])
-        others = hits[d]  # a term's own occurrences are no evidence for it
-        others[np.flatnonzero(has), k[has]] -= n[has]
-        seen = others.sum(1)
-        told = seen >= 2
-        part = np.concatenate([np.where(told[:, None], others / np.maximum(seen, 1)[:, None], 0), told[:, None], np.ones((len(t), 1))], 1)
-        if len(index) > len(total):
-            total = np.concatenate([total, np.zeros((max(len(total), len(index)), width))])
-        np.add.at(total, t, part)
-        if len(index) > 200_000:
-            yield rows()
-            index.clear()
-            total[:] = 0
-    if index:
-        yield rows()
-
-
-def _with_lexicon(docs: DataFrame, lexicon: DataFrame, size: int) -> tuple[DataFrame, dict[str, str] | None]:
+
+def leaf_lexicon(placed: DataFrame, examples: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(leaf, subject, weight), the labels of the leaves, and (term, subject), what their terms stand for.
+
+    ``examples`` are (term, subject) to vote with.
+    """
+    counts = materialize(placed.select("leaf", F.explode(F.array_distinct(F.flatten("sentences"))).alias("term")).groupBy("leaf", "term").agg(F.count("*").alias("n")), "p8-counts")
+    sizes = placed.groupBy("leaf").agg(F.count("*").alias("size"))
+    corpus = counts.groupBy("term").agg(F.sum("n").alias("all_n"))
+    everything = sizes.agg(F.sum("size").alias("all_size"))
+    rated = counts.join(corpus, "term").join(sizes, "leaf").crossJoin(F.broadcast(everything))  # one row
+    rated = materialize(rated.withColumn("lift", F.col("n") * F.col("all_size") / (F.col("size") * F.col("all_n"))).select("leaf", "term", "n", "all_n", "size", "lift", ((F.col("n") >= APART_DOCUMENTS) & (F.col("lift") > APART_LIFT)).alias("apart")), "p8-rated")
+    votes = rated.where("apart").join(examples, "term").groupBy("leaf", "subject").agg(F.sum(F.col("n") / F.col("size") * F.log2("lift")).alias("votes"))
+    own = Window.partitionBy("leaf")
+    strong = votes.withColumn("share", F.col("votes") / F.sum("votes").over(own)).where(F.col("share") >= LEAF_SHARE)
+    labels = materialize(strong.select("leaf", "subject", (F.col("share") / F.sum("share").over(own)).alias("weight")), "p8-labels")
+
+    told = rated.join(labels, "leaf")
+    by_subject = told.groupBy("term", "subject").agg(F.sum(F.col("n") * F.col("weight")).alias("s"))
+    base = told.groupBy("subject").agg(F.sum(F.col("n") * F.col("weight")).alias("b")).withColumn("base", F.col("b") / F.sum("b").over(Window.partitionBy(F.lit(0)))).select("subject", "base")
+    best = by_subject.groupBy("term").agg(F.max_by(F.struct("subject", "s"), F.struct("s", "subject")).alias("best")).select("term", "best.subject", "best.s")
+    facts = rated.groupBy("term").agg(F.max("apart").alias("apart"), F.any_value("all_n").alias("all_n")).where(F.col("apart") & (F.col("all_n") >= TERM_DOCUMENTS))
+    stands = best.join(facts, "term").join(base, "subject").where(F.col("s") >= F.greatest(F.lit(TERM_SHARE), F.col("base") + OVER_BASE) * F.col("all_n"))
+    return labels, materialize(stands.select("term", "subject"), "p8-lexicon")
+
+
+def _with_lexicon(docs: DataFrame, lexicon: DataFrame, bound: int) -> tuple[DataFrame, dict[str, str] | None]:
     """The documents, and the lexicon as a dictionary where its size, which is counted, allows; else joined to the rows."""
-    if size <= LEXICON_BOUND:
-        return docs, {r["term"]: r["subject"] for r in lexicon.collect()}
-    terms = docs.select("doc_id", F.explode(F.array_distinct(F.flatten("sentences"))).alias("term")).join(lexicon, "term")
-    own = terms.groupBy("doc_id").agg(F.collect_list(F.struct("term", "subject")).alias("entries"))
-    return docs.join(own, "doc_id", "left").select("doc_id", "sentences", "entries"), None
-
-
-def carried_lexicon(docs: DataFrame, start: dict[str, str], subjects: list[str]) -> DataFrame:
-    """(term, subject) of the corpus, from the lexicon of the examples."""
-    spark = docs.sparkSession
-    lexicon, size = spark.createDataFrame(list(start.items()) or [("", "")], "term string, subject string"), len(start)
-    for told in TERM_TOLD:
-        rows, own = _with_lexicon(docs, lexicon, size)
-        sums = rows.mapInArrow(lambda it, own=own: _carry_batches(it, own, subjects), "term string, sums array<double>")
-        k = len(subjects)
-        merged = sums.groupBy("term").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(k + 2)])
-        best = F.greatest(*[F.col(f"s{i}") for i in range(k)]) if k > 1 else F.col("s0")
-        subject = F.coalesce(*[F.when(F.col(f"s{i}") == best, F.lit(s)) for i, s in enumerate(subjects)])
-        merged = materialize(merged, "p8-carried")
-        base = merged.agg(*[(F.sum(f"s{i}") / F.sum(f"s{k}")).alias(f"b{i}") for i in range(k)]).first()
-        least = F.greatest(F.lit(TERM_SHARE), F.coalesce(*[F.when(F.col(f"s{i}") == best, F.lit((base[i] or 0.0) + OVER_BASE)) for i in range(k)]))
-        lexicon = materialize(merged.where((F.col(f"s{k}") >= TERM_DOCUMENTS) & (F.col(f"s{k}") >= told * F.col(f"s{k + 1}")) & (best >= least * F.col(f"s{k}"))).select("term", subject.alias("subject")), "p8-lexicon")
-        size = lexicon.count()
-    return lexicon
-
-
-def _judge_batches(batches: Iterator[pa.RecordBatch], lexicon: dict[str, str] | None) -> Iterator[pa.RecordBatch]:
+    if lexicon.count() <= bound:
+        return docs.select("doc_id", "sentences", "leaf"), {r["term"]: r["subject"] for r in lexicon.collect()}
+    terms = docs.select("row", F.explode(F.array_distinct(F.flatten("sentences"))).alias("term")).join(lexicon, "term")
+    own = terms.groupBy("row").agg(F.collect_list(F.struct("term", "subject")).alias("entries"))
+    return docs.join(own, "row", "left").select("doc_id", "sentences", "leaf", "entries"), None
+
+
+_MIXTURE = "doc_id bigint, leaf int, subject string, weight double"
+
+
+def _mix_batches(batches: Iterator[pa.RecordBatch], lexicon: dict[str, str] | None) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
-        ids, found = [], []
-        for doc, sentences, lex in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _lexicons(b, lexicon)):
+        rows: list[tuple] = []
+        for doc, sentences, leaf, lex in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), _lexicons(b, lexicon)):
             treats: Counter = Counter()
-            n = 0
             for s in sentences or []:
-                n += 1
                 hits = Counter(x for t in s if (x := lex.get(t)))
                 if hits:
                     (first, most), *rest = hits.most_common(2)
                     if most >= 2 and (not rest or rest[0][1] < most):
                         treats[first] += 1
-            for subject, k in treats.items():
-                if k >= LEAST_SHARE * n:
-                    ids.append(doc)
-                    found.append(subject)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["doc_id", "subject"])
+            rows += [(doc, leaf, subject, k / len(sentences)) for subject, k in treats.items()] or [(doc, leaf, None, 0.0)]
+        columns = list(zip(*rows)) or [[], [], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.string(), pa.float64()))], ["doc_id", "leaf", "subject", "weight"])
 
 
-def _subject_names(subjects: DataFrame) -> list[str]:
-    return sorted(r["subject"] for r in subjects.where("subject is not null").select("subject").distinct().collect())
+def subject_mixtures(documents: DataFrame, examples: DataFrame, subjects: DataFrame, leaves: int = LEAVES, features: int = FEATURES, lexicon_bound: int = LEXICON_BOUND) -> DataFrame:
+    """(doc_id, leaf, subject, weight): each document's leaf, and its mixture of subjects by its sentences.
 
-
-def subjects_by_sentences(documents: DataFrame, examples: DataFrame, subjects: DataFrame) -> DataFrame:
-    """(doc_id, subject) where at least an eighth of the sentences treat the subject."""
-    names = _subject_names(subjects)
+    A document without a subject has one row with a null subject and weight 0.
+    """
+    spark = documents.sparkSession
     known = labelled(examples)
     breaks = common_ideographs(known)
-    docs = materialize(sentence_terms(documents, breaks), "p8-sentences")
-    lexicon = carried_lexicon(docs, example_lexicon(known, breaks), names)
-    rows, own = _with_lexicon(docs, lexicon, lexicon.count())
-    return rows.mapInArrow(lambda it: _judge_batches(it, own), "doc_id bigint, subject string").distinct()
-
-
-def subjects_by_clusters(documents: DataFrame, examples: DataFrame, subjects: DataFrame, leaves: int = LEAVES) -> DataFrame:
-    """(doc_id, leaf, subject, weight): the mixture of subjects of each document's leaf, from an eighth up."""
-    from pyspark.ml.clustering import BisectingKMeans
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer
+    placed = clustered(sentence_terms(documents, breaks), leaves, features)
+    start = spark.createDataFrame(list(example_lexicon(known, breaks).items()), "term string, subject string")
+    _, lexicon = leaf_lexicon(placed, start.join(subjects.select("subject").distinct(), "subject", "left_semi"))
+    rows, own = _with_lexicon(placed, lexicon, lexicon_bound)
+    return rows.mapInArrow(lambda it: _mix_batches(it, own), _MIXTURE)
 
-    spark = documents.sparkSession
-    names = _subject_names(subjects)
-    told = labelled(examples)
-    breaks = common_ideographs(told)
-    docs = materialize(sentence_terms(documents, breaks).select("doc_id", F.flatten("sentences").alias("terms")).where(F.size("terms") > 0), "p8-terms")
-    if docs.isEmpty():
-        return spark.createDataFrame([], "doc_id bigint, leaf int, subject string, weight double")
-    counted = HashingTF(inputCol="terms", outputCol="tf", numFeatures=FEATURES).transform(docs)
-    scaled = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2).fit(counted).transform(counted)
-    vectors = materialize(Normalizer(inputCol="tfidf", outputCol="features").transform(scaled).select("doc_id", "terms", "features"), "p8-vectors")
-    model = BisectingKMeans(k=leaves, maxIter=6, seed=42, minDivisibleClusterSize=20, featuresCol="features", predictionCol="leaf").fit(vectors)
-    placed = materialize(model.transform(vectors).select("doc_id", "terms", "leaf"), "p8-leaves")
 
-    # terms that set a leaf apart: their rate in the leaf against their rate in the corpus
-    by_leaf = placed.select("leaf", F.explode(F.array_distinct("terms")).alias("term")).groupBy("leaf", "term").agg(F.count("*").alias("n"))
-    sizes = placed.groupBy("leaf").agg(F.count("*").alias("size"))
-    corpus = by_leaf.groupBy("term").agg(F.sum("n").alias("all_n"))
-    everything = sizes.agg(F.sum("size").alias("all_size"))
-    rate = by_leaf.join(corpus, "term").join(sizes, "leaf").join(F.broadcast(everything)).withColumn("lift", (F.col("n") / F.col("size")) / (F.col("all_n") / F.col("all_size")))
-    apart = rate.where("n >= 3 and lift > 1.5").withColumn("worth", F.col("n") / F.col("size") * F.log2("lift"))
-    start = {t: s for t, s in example_lexicon(told, breaks).items() if s in names}
-    known = spark.createDataFrame(list(start.items()) or [("", "")], "term string, subject string")
-    votes = apart.join(known, "term").groupBy("leaf", "subject").agg(F.sum("worth").alias("worth"))
-    share = votes.withColumn("weight", F.col("worth") / F.sum("worth").over(Window.partitionBy("leaf"))).where(F.col("weight") >= LEAST_SHARE)
-    return placed.select("doc_id", "leaf").join(share.select("leaf", "subject", "weight"), "leaf").select("doc_id", "leaf", "subject", "weight")
+def document_subjects(documents: DataFrame, examples: DataFrame, subjects: DataFrame, **how: int) -> DataFrame:
+    """(doc_id, subject) of the subjects that are at least an eighth of a document's mixture."""
+    return subject_mixtures(documents, examples, subjects, **how).where(F.col("subject").isNotNull() & (F.col("weight") >= LEAST_SHARE)).select("doc_id", "subject").distinct()
 
 
-def p8_method(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Subjects by the mixture of each document's leaf of bisecting k-means."""
-    return subjects_by_clusters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_examples"), table(spark, sf_dir, "subjects"))
+def _tables(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [table(spark, sf_dir, t) for t in ("documents", "subject_examples", "subjects")]
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every subject that at least an eighth of a document's sentences treat."""
-    return subjects_by_sentences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_examples"), table(spark, sf_dir, "subjects"))
+    return document_subjects(*_tables(spark, sf_dir))
+
+
+def p8_mixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaf and the mixture of subjects of every document with text."""
+    return subject_mixtures(*_tables(spark, sf_dir))

@@ -305,21 +305,24 @@ def subject_tables(spark):
     return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(ex, "example_id long, text string, subject string"), spark.createDataFrame([("music",), ("law",)], "subject string"), want
 
 
-def test_subjects(spark, monkeypatch):
+@pytest.mark.parametrize("bound", [subjects.LEXICON_BOUND, 0])  # beyond the bound the lexicon is joined instead
+def test_subjects(spark, bound):
     docs, ex, names_, want = subject_tables(spark)
-    assert {tuple(r) for r in subjects.subjects_by_sentences(docs, ex, names_).collect()} == want
-    monkeypatch.setattr(subjects, "LEXICON_BOUND", 0)  # the lexicon is joined instead
-    assert {tuple(r) for r in subjects.subjects_by_sentences(docs, ex, names_).collect()} == want
-    assert subjects.subjects_by_sentences(docs.limit(0), ex, names_).count() == 0
+    how = {"leaves": 4, "lexicon_bound": bound}
+    assert {tuple(r) for r in subjects.document_subjects(docs.withColumn("row", F.lit(1)).withColumn("leaf", F.lit("x")), ex, names_, **how).collect()} == want
+    assert subjects.document_subjects(docs.limit(0), ex, names_, **how).count() == 0
+    assert subjects.document_subjects(docs, ex.limit(0), names_, **how).count() == 0
+    assert subjects.document_subjects(docs, ex, names_.limit(0), **how).count() == 0
 
 
-def test_subjects_by_clusters(spark):
+def test_subject_mixtures_have_every_document(spark):
     docs, ex, names_, want = subject_tables(spark)
-    got = subjects.subjects_by_clusters(docs, ex, names_, leaves=2).toPandas()
-    main = got.sort_values("weight").groupby("doc_id").subject.last()
-    right = sum(main.get(d) == s for d, s in want)
-    assert right >= 0.9 * len(want)
-    assert subjects.subjects_by_clusters(docs.limit(0), ex, names_).count() == 0
+    more = docs.union(spark.createDataFrame([(200, "12 34."), (None, docs.first().text)], docs.schema))
+    got = subjects.subject_mixtures(more, ex, names_, leaves=4).toPandas()
+    assert set(got.doc_id.dropna().astype(int)) == {*range(60), 100, 101, 200} and got.doc_id.isna().sum() == 1  # not the null and the blank text
+    none = got[got.subject.isna()]
+    assert set(none.doc_id.astype(int)) == {100, 200} and (none.weight == 0).all()
+    assert (got[got.doc_id == 101].weight < subjects.LEAST_SHARE).all()  # a passing mention
 
 
 def test_very_long_values(spark):
@@ -352,4 +355,4 @@ def test_rows_without_ids_and_clashing_columns(spark):
 
 def test_registry():
     q = list(queries())
-    assert q.index("p8_method") < q.index("p8_found") and set(oracle_sql()) <= set(q)
+    assert set(oracle_sql()) <= set(q)
