@@ -4,18 +4,18 @@ Space-filling-curve order. Every segment's words are hashed to a vector of
 ``DIMS`` signed sums, which is scaled by the square root of the word count and
 put on a grid; its place on a Hilbert curve through the grid is the segment's
 key. Segments are range-sorted by chapter and key, and neighbours along the curve
-share containers: within a block of the curve every segment goes into the open
-container it fills best, ties into the one used last.
+share containers: each container is filled from the next ``NEIGHBOURS`` segments along the
+curve that are still without one. One of them opens the container, and the subset of the others
+that fills it best joins (subset sums); of equally good ones the nearest. The curve is walked
+from its start; as long as the sum of sizes would allow fewer containers, also from its end, with the
+largest neighbour opening, and from ``STARTS`` places, and the walk with the fewest containers
+is taken, the earliest on a tie.
 
 A chapter is one block as long as it has at most ``BLOCK`` segments. A larger
-one is cut along the curve into blocks of about that size from a histogram of
-keys, and a histogram cell that is larger by itself (a chapter full of copies) is
-salted, so no task ever holds more than some blocks. A block wastes at most a part
-of one container against the whole chapter.
-
-Where curve order needs more containers than the lower bound, the block is also
-packed in falling size, and each container by subset sums, and the packing with
-the fewest containers is taken; curve order wins ties.
+one is cut along the curve into blocks of that size from histograms of
+keys (of ``CELLS`` cells, then of the keys within each cell), and only a single key with more copies
+than that is salted, so no task ever holds more than some blocks. A block wastes at
+most a part of one container against the whole chapter.
 
 Defined results: null and empty texts, and texts of white space only in words,
 have size 0 and no container. Only a segment above chunk_size is divided, by the
@@ -25,7 +25,6 @@ segment_id are segments of their own.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +37,15 @@ from pyspark.sql.window import Window
 
 from quillspark.llm.pieces import cut, with_sizes
 from quillspark.llm.tables import table
+from quillspark.storage import materialize
 
 DIMS, BITS = 3, 10
+#: Segments from which a container is filled, and places where a walk along the curve may begin.
+NEIGHBOURS, STARTS = 64, 8
+#: Segments of a chapter that are packed together.
 BLOCK = 4096
+#: Cells of a chapter's first histogram of keys.
+CELLS = 1 << 15
 
 
 def hilbert_keys(x: np.ndarray, bits: int) -> np.ndarray:
@@ -119,67 +124,50 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ITEM)], schema=_ITEM)
 
 
-def _best_fit(sizes: list[int], cap: int, order: list[int]) -> tuple[int, list[int]]:
-    """Number of containers, and each item's container, when items go in ``order`` where they fit best."""
-    room: list[tuple[int, int]] = []  # (left, -last use): the last used one of equals comes first
-    at: dict[tuple[int, int], int] = {}
-    to = [0] * len(sizes)
-    count = 0
-    for step, i in enumerate(order):
-        k = bisect_left(room, (sizes[i], -step - 1))
-        if k < len(room):
-            key = room.pop(k)
-            c = at.pop(key)
-            left = key[0] - sizes[i]
-        else:
-            c, left = count, cap - sizes[i]
-            count += 1
-        to[i] = c
-        if left:
-            insort(room, (left, -step))
-            at[left, -step] = c
-    return count, to
-
-
-def _subset_sums(sizes: list[int], cap: int, order: list[int]) -> tuple[int, list[int]]:
-    """Like _best_fit, but each container takes the largest item left and the subset that fills the rest best."""
-    left = list(order)
+def _along(sizes: list[int], cap: int, order: list[int], largest_opens: bool = False) -> tuple[int, list[int]]:
+    """Number of containers, and each item's container, when they are filled from the next neighbours in ``order``."""
     to = [0] * len(sizes)
-    count = 0
-    full = (1 << (cap + 1)) - 1
-    while left:
-        first = left.pop(0)
-        to[first] = count
+    count, at = 0, 0
+    hood: list[int] = []
+    while hood or at < len(order):
+        while len(hood) < NEIGHBOURS and at < len(order):
+            hood.append(order[at])
+            at += 1
+        first = max(hood, key=sizes.__getitem__) if largest_opens else hood[0]
+        others = [i for i in hood if i != first]
+        if largest_opens:
+            others.sort(key=lambda i: -sizes[i])
         rest = cap - sizes[first]
-        if rest:
-            reach, steps = 1, []
-            for i in left:
-                steps.append(reach)
-                reach |= (reach << sizes[i]) & full
-                if reach >> rest & 1:
-                    break
-            total = (reach & ((1 << (rest + 1)) - 1)).bit_length() - 1
-            chosen = set()
-            for i, before in zip(reversed(left[: len(steps)]), reversed(steps)):
-                if not before >> total & 1:
-                    chosen.add(i)
-                    to[i] = count
-                    total -= sizes[i]
-            if chosen:
-                left = [i for i in left if i not in chosen]
+        chosen = {first}
+        reach, steps, full = 1, [], (1 << (rest + 1)) - 1  # bit k: some subset of those met so far has size k
+        for i in others:
+            if reach >> rest & 1:
+                break
+            steps.append(reach)
+            reach |= (reach << sizes[i]) & full
+        total = reach.bit_length() - 1
+        for i, before in zip(reversed(others[: len(steps)]), reversed(steps)):
+            if not before >> total & 1:
+                chosen.add(i)
+                total -= sizes[i]
+        for i in chosen:
+            to[i] = count
+        hood = [i for i in hood if i not in chosen]
         count += 1
     return count, to
 
 
 def pack(sizes: list[int], cap: int) -> tuple[int, list[int]]:
-    """Pack items given in curve order into containers of ``cap``."""
+    """Pack items given in curve order into containers of ``cap``, by the walk along the curve that needs the fewest."""
+    n = len(sizes)
     least = max(-(-sum(sizes) // cap), sum(2 * s > cap for s in sizes))
-    best = _best_fit(sizes, cap, list(range(len(sizes))))
-    if best[0] > least:
-        falling = sorted(range(len(sizes)), key=lambda i: -sizes[i])
-        for way in (_best_fit, _subset_sums):
-            if best[0] > least and (other := way(sizes, cap, falling))[0] < best[0]:
-                best = other
+    curve = list(range(n))
+    best = _along(sizes, cap, curve)
+    for order, largest in ((curve[::-1], False), (curve, True), *(([*curve[k:], *curve[:k]], False) for k in (n * r // STARTS for r in range(1, STARTS)))):
+        if best[0] == least:
+            break
+        if (other := _along(sizes, cap, order, largest))[0] < best[0]:
+            best = other
     return best
 
 
@@ -244,15 +232,20 @@ def containers(segments: DataFrame, configs: DataFrame) -> DataFrame:
     if cells.isEmpty():  # usually no chapter is larger than a block
         blocked = items.withColumn("block", F.lit(0))
     else:
-        hot = items.join(cells, chapter, "left_semi").groupBy(*chapter, (F.col("curve") / (1 << 15)).cast("int").alias("cell")).agg(F.count("*").alias("n"))
-        before = F.sum("n").over(Window.partitionBy(*chapter).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
-        blocks = hot.select(*chapter, "cell", (F.coalesce(before, F.lit(0)) / BLOCK).cast("int").alias("first"), F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-        blocked = (
-            items.withColumn("cell", (F.col("curve") / (1 << 15)).cast("int"))
-            .join(blocks, [*chapter, "cell"], "left")
-            .withColumn("block", F.coalesce(F.col("first") + F.pmod(F.xxhash64("segment_id"), F.col("parts")).cast("int"), F.lit(0)))
-            .drop("cell", "first", "parts")
-        )
+        width = (1 << DIMS * BITS) // CELLS
+        # keys are compared null-safe: a chapter without a name is a chapter
+        named = lambda df: df.withColumnsRenamed({"book_id": "_b", "chapter_number": "_c"})
+        here = [F.col("book_id").eqNullSafe(F.col("_b")), F.col("chapter_number").eqNullSafe(F.col("_c"))]
+        fine = items.join(named(cells), here, "left_semi").groupBy(*chapter, "curve").agg(F.count("*").alias("n")).withColumn("cell", F.floor(F.col("curve") / width))
+        fine = materialize(fine, "p2-keys")
+        before = lambda *by: Window.partitionBy(*chapter, *by).orderBy("curve" if by else "cell").rowsBetween(Window.unboundedPreceding, -1)
+        coarse = fine.groupBy(*chapter, "cell").agg(F.sum("n").alias("in_cell")).withColumn("first", F.coalesce(F.sum("in_cell").over(before()), F.lit(0)))
+        coarse = named(coarse.withColumnRenamed("cell", "_cell").drop("in_cell"))
+        place = F.col("first") + F.coalesce(F.sum("n").over(before("cell")), F.lit(0))
+        located = fine.join(coarse, [*here, F.col("cell") == F.col("_cell")]).withColumn("place", place)
+        located = named(located.drop("_b", "_c").select(*chapter, F.col("curve").alias("_curve"), F.floor(F.col("place") / BLOCK).alias("at"), F.ceil(F.col("n") / BLOCK).alias("parts")))
+        salt = F.pmod(F.xxhash64("segment_id", "piece_no", "start_pos"), F.col("parts"))
+        blocked = items.join(located, [*here, F.col("curve") == F.col("_curve")], "left").select(*items.columns, F.coalesce(F.col("at") + salt, F.lit(0)).cast("int").alias("block"))
     placed = blocked.repartition(*chapter, "block").sortWithinPartitions(*chapter, "block", "capacity", "curve", "segment_id", "piece_no")
     return placed.mapInArrow(_pack_sorted, _OUT_DDL)
 

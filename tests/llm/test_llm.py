@@ -137,21 +137,25 @@ def test_packing():
     random.seed(1)
     for _ in range(300):
         cap = random.randint(1, 60)
-        sizes = [random.randint(1, cap) for _ in range(random.randint(1, 40))]
+        sizes = [random.randint(1, cap) for _ in range(random.randint(1, 90))]
         n, to = packing.pack(sizes, cap)
         used = {}
         for s, c in zip(sizes, to):
             used[c] = used.get(c, 0) + s
-        assert max(used.values()) <= cap and len(used) == n
-        falling = packing._best_fit(sizes, cap, sorted(range(len(sizes)), key=lambda i: -sizes[i]))[0]
-        assert -(-sum(sizes) // cap) <= n <= falling
+        assert max(used.values()) <= cap and sorted(used) == list(range(n))
+        assert -(-sum(sizes) // cap) <= n <= packing._along(sizes, cap, list(range(len(sizes))))[0]
 
 
-def test_packing_of_large_blocks():
-    """Subset sums are tried at every size: here falling size alone takes 204."""
+def test_containers_hold_neighbours():
+    """Every container is filled from the next NEIGHBOURS items of the curve that are left."""
     random.seed(0)
-    sizes = [random.randint(20, 60) for _ in range(500)]
-    assert packing.pack(sizes, 100)[0] == 200
+    sizes = [random.randint(20, 60) for _ in range(3000)]
+    count, to = packing._along(sizes, 100, list(range(3000)))
+    left = list(range(3000))
+    for c in range(count):
+        assert [i for i in left[: packing.NEIGHBOURS] if to[i] == c] == [i for i in left if to[i] == c]
+        left = [i for i in left if to[i] != c]
+    assert not left and packing.pack(sizes, 100)[0] <= 1.01 * (-(-sum(sizes) // 100))
 
 
 def test_hilbert_neighbours():
@@ -163,17 +167,18 @@ def test_hilbert_neighbours():
     assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
 
 
-def test_containers(spark, monkeypatch):
-    rows = [(i, "b", i % 2, "w " * (1 + i % 5), 1) for i in range(60)] + [(100, "b", 0, "x " * 23, 1), (101, "b", 0, None, 1), (102, "b", 0, "", 1), (3, "b", 1, "w " * 4, 1), (104, None, None, "a b", 1)]
+@pytest.mark.parametrize("block", [4096, 8])  # the second makes the chapters hot
+def test_containers(spark, monkeypatch, block):
+    rows = [(i, "b", i % 2, f"w{i % 7} " * (1 + i % 5), 1) for i in range(60)] + [(100, "b", 0, "x " * 23, 1), (101, "b", 0, None, 1), (102, "b", 0, "", 1), (3, "b", 1, "w3 " * 4, 1), (104, None, None, "a b", 1)]
+    rows += [(200 + i, None, 7, "same words", 1) for i in range(30)]  # one key with many copies, in a chapter without a book
     segs = spark.createDataFrame(rows, "segment_id long, book_id string, chapter_number int, text string, config_id int")
     conf = spark.createDataFrame([(1, 10, 3, "word")], CONF)
-    for block in (4096, 8):  # the second makes the chapters hot
-        monkeypatch.setattr(packing, "BLOCK", block)
-        got = packing.containers(segs, conf).toPandas()
-        assert got["size"].sum() == sum(1 + i % 5 for i in range(60)) + 23 + 2
-        assert not got.duplicated(["segment_id", "piece_no"]).any()
-        assert (got.groupby(["book_id", "chapter_number", "container_no"], dropna=False)["size"].sum() <= 10).all()
-        assert (got[got.segment_id < 100].piece_no == 0).all() and (got.segment_id == 100).sum() == 3
+    monkeypatch.setattr(packing, "BLOCK", block)
+    got = packing.containers(segs, conf).toPandas()
+    assert got["size"].sum() == sum(1 + i % 5 for i in range(60)) + 23 + 2 + 60
+    assert not got.duplicated(["segment_id", "piece_no"]).any()
+    assert (got.groupby(["book_id", "chapter_number", "container_no"], dropna=False)["size"].sum() <= 10).all()
+    assert (got[got.segment_id < 100].piece_no == 0).all() and (got.segment_id == 100).sum() == 3
     assert packing.containers(segs.limit(0), conf).count() == 0
 
 
