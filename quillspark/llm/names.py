@@ -3,8 +3,12 @@
 Every distinct spelling of a book is parsed once (order, title, given name,
 initials, surname; or the words of an organisation). Spellings meet in blocks:
 a block key is the phonetic code of a sorted token, or that code with one letter
-left out, so one wrong consonant still meets. Met spellings are compared token by
-token with Jaro-Winkler, a table of nicknames and a rule for contractions.
+left out, so one wrong consonant still meets; of two full names the other token is part of
+the key, so a block holds little but variants of one name. Met spellings are compared token by
+token with Jaro-Winkler, a table of nicknames and a rule for contractions. Two tokens are the
+same word if their Jaro-Winkler distance is at most ``SLIP`` over the length of the longer one:
+a single wrong letter anywhere has two thirds over the length, and slips behind a common
+beginning cost less, so several of them may pass.
 
 1. Full names (given name and surname, or a whole organisation) that agree are
    linked, as are full names of one roster entry; connected components of the
@@ -17,8 +21,9 @@ token with Jaro-Winkler, a table of nicknames and a rule for contractions.
 
 Defined results: ``Unknown``, ``Narrator``, null, empty and blank strings are no
 names; redelivered rows change nothing; a null book_id has no names.
-All joins are on (book, block key): there is no group to collect, and a book with
-a third of all rows shrinks to its distinct spellings before anything else.
+All joins are on (book, block key); a block of more than ``HOT_BLOCK`` spellings is split into
+parts that meet the whole block one by one. A book with a third of all rows shrinks to its distinct
+spellings before anything else.
 """
 
 from __future__ import annotations
@@ -68,37 +73,51 @@ ORG_WORDS = {
     "assurance": "assurance", "assur": "assurance", "assce": "assurance", "insurance": "insurance", "ins": "insurance", "canal": "canal", "bank": "bank", "limited": "limited", "ltd": "limited", "institute": "institute", "inst": "institute",
     "corporation": "corporation", "corp": "corporation", "college": "college", "coll": "college", "university": "university", "univ": "university", "committee": "committee", "comm": "committee", "council": "council", "club": "club", "union": "union", "house": "house", "press": "press", "works": "works", "mission": "mission", "manufacturing": "manufacturing", "mfg": "manufacturing",
 }
-#: Codes beyond this length, which no name has, block by themselves and their two ends only.
-LONGEST_CODE = 40
-#: Least Jaro-Winkler similarity of two tokens that differ by a typing error.
-LEAST_SIMILAR = 0.8
+#: Codes of this length and more also meet by their two ends, which no slip in the other half touches.
+LONG_CODE = 38
+#: Most Jaro-Winkler distance of two tokens that differ by typing errors, times the length of the longer one.
+SLIP = 0.7
+#: Spellings of a block above which it is split.
+HOT_BLOCK = 2000
 
 
 _FORMAL = frozenset(NICKNAMES.values())
 
 
-@lru_cache(maxsize=200_000)
-def jaro_winkler(a: str, b: str) -> float:
-    """The Jaro-Winkler similarity of two strings."""
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
+def _jaro(a: str, b: str, tries: tuple) -> float:
     reach = max(len(a), len(b)) // 2 - 1
     used = [False] * len(b)
-    mine = []
-    for i, ch in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not used[j] and b[j] == ch:
-                used[j] = True
-                mine.append(ch)
-                break
+    match = [-1] * len(a)
+    for near in tries:
+        for i, ch in enumerate(a):
+            if match[i] < 0:
+                for d in near or range(-reach, reach + 1):
+                    j = i + d
+                    if 0 <= j < len(b) and -reach <= d <= reach and not used[j] and b[j] == ch:
+                        used[j] = True
+                        match[i] = j
+                        break
+    mine = [ch for ch, j in zip(a, match) if j >= 0]
     m = len(mine)
     if not m:
         return 0.0
     theirs = [ch for ch, u in zip(b, used) if u]
     swaps = sum(x != y for x, y in zip(mine, theirs)) / 2
-    jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
+    return (m / len(a) + m / len(b) + (m - swaps) / m) / 3
+
+
+@lru_cache(maxsize=200_000)
+def jaro_winkler(a: str, b: str) -> float:
+    """The Jaro-Winkler similarity of two strings.
+
+    Of two ways to match equal letters the better one counts: each with the first within reach, or
+    with one beside it before any farther off; so one letter too many puts no repeated letters out of order.
+    """
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    jaro = max(_jaro(a, b, ((),)), _jaro(a, b, ((0, -1, 1), ())))
     prefix = 0
     for x, y in zip(a[:4], b[:4]):
         if x != y:
@@ -107,24 +126,9 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro)
 
 
-@lru_cache(maxsize=200_000)
-def one_slip(a: str, b: str) -> bool:
-    """Whether one letter too many, too few, another or two swapped tell the strings apart."""
-    if a == b:
-        return True
-    if abs(len(a) - len(b)) > 1:
-        return False
-    i = 0
-    while i < min(len(a), len(b)) and a[i] == b[i]:
-        i += 1
-    if len(a) == len(b):
-        return a[i + 1 :] == b[i + 1 :] or (i + 1 < len(a) and a[i] == b[i + 1] and a[i + 1] == b[i] and a[i + 2 :] == b[i + 2 :])
-    return a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :]
-
-
-def alike(a: str, b: str) -> bool:
-    """Whether two tokens are the same word but for a typing error."""
-    return a == b or min(len(a), len(b)) >= 4 and one_slip(a, b) and jaro_winkler(a, b) >= LEAST_SIMILAR
+def alike(a: str, b: str, least: int = 4) -> bool:
+    """Whether two tokens of at least ``least`` letters are the same word but for typing errors."""
+    return a == b or min(len(a), len(b)) >= least and (1 - jaro_winkler(a, b)) * max(len(a), len(b)) <= SLIP
 
 
 def contracts(short: str, name: str) -> bool:
@@ -144,24 +148,24 @@ _CLASSES = str.maketrans({**dict.fromkeys("bpfvw", "b"), **dict.fromkeys("cgjkqs
 
 def phonetic(token: str) -> str:
     """The phonetic code of a token: classes of consonants without vowels and doublings."""
-    t = token.replace("ph", "f").translate(_CLASSES) or "-"
-    return "".join(c for i, c in enumerate(t) if not i or c != t[i - 1])
+    return _undoubled(token.replace("ph", "f").translate(_CLASSES)) or "-"
 
 
-def block_codes(token: str) -> list[str]:
-    """The code of a token, and the code with one letter left out."""
-    c = phonetic(token)
-    return sorted({c, *(c[:i] + c[i + 1 :] for i in range(len(c)))}) if 1 < len(c) <= LONGEST_CODE else [c]
+def _undoubled(code: str) -> str:
+    return "".join(c for i, c in enumerate(code) if not i or c != code[i - 1])
 
 
-def half_codes(token: str) -> list[str]:
-    """Of a code about as long as LONGEST_CODE or longer its two ends: one slip leaves one of them whole."""
-    c, h = phonetic(token), LONGEST_CODE // 2 - 2
-    return [f"<{c[:h]}", f">{c[-h:]}"] if len(c) >= LONGEST_CODE - 2 else []
+def block_codes(token: str) -> list[str]:
+    """The code of a token, and the code with one letter left out; of a very long code two halves take the place of the latter."""
+    c = phonetic(token)
+    if len(c) >= LONG_CODE:
+        h = LONG_CODE // 2 - 1
+        return [c, f"<{c[:h]}", f">{c[-h:]}"]
+    return sorted({c, *(_undoubled(c[:i] + c[i + 1 :]) for i in range(len(c)))}) if len(c) > 1 else [c]
 
 
 def _codes(kind: str, token: str) -> list[str]:
-    return [kind + c for c in (*block_codes(token), *half_codes(token))]
+    return [kind + c for c in block_codes(token)]
 
 
 def _simple(name: str) -> str:
@@ -203,7 +207,7 @@ def parse(name: str) -> dict:
         if k == 0 and len(raw) > 1:
             hit = TITLES.get(t) if not (t == "m" and len(raw) > 2) and not (t == "m" and w.endswith(".")) else None
             if not hit and len(t) >= 3 and len(raw) == 2 and not w.endswith(".") and t not in NICKNAMES:
-                near = [x for x in _TITLE_LIKE if one_slip(t, x)]
+                near = [x for x in _TITLE_LIKE if alike(t, x, 3)]
                 hit = TITLES[near[0]] if near and t != "mary" else None
             if hit:
                 out["title"], out["gender"] = hit
@@ -227,6 +231,7 @@ def parse(name: str) -> dict:
 
 
 def _keys(p: dict) -> list[str]:
+    """Where a spelling meets full names: its surname, a given name that stands for it, or an organisation's words."""
     if p["kind"] == "acro":
         return ["a:" + p["words"]]
     if p["kind"] == "org":
@@ -241,7 +246,14 @@ def _keys(p: dict) -> list[str]:
     return keys
 
 
-_PARSED = "book_id string, name string, kind string, title string, gender string, given string, how string, middle string, sur string, same string, keys array<string>"
+def _own_keys(p: dict) -> list[str]:
+    """Where two full names meet: one token as it is, and the code of the other."""
+    if p["kind"] == "org":
+        return [k for k in _keys(p) if k.startswith("o:")]
+    return [*_codes(f"{p['given']}|", p["sur"]), *_codes(f"|{p['sur']}|", p["given"])] if p["kind"] == "full" else []
+
+
+_PARSED = "book_id string, name string, kind string, title string, gender string, given string, how string, middle string, sur string, same string, keys array<string>, own array<string>"
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +261,7 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         parsed = [parse(n) for n in b.column(1).to_pylist()]
         cols = [pa.array([p[c] for p in parsed], pa.string()) for c in ("kind", "title", "gender", "given", "how", "middle", "sur")]
         same = pa.array(["|".join(p[c] for c in ("kind", "title", "given", "middle", "sur", "words")) for p in parsed], pa.string())
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, same, pa.array([_keys(p) for p in parsed], pa.list_(pa.string()))], [x.split()[0] for x in _PARSED.split(", ")])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols, same, pa.array([_keys(p) for p in parsed], pa.list_(pa.string())), pa.array([_own_keys(p) for p in parsed], pa.list_(pa.string()))], [x.split()[0] for x in _PARSED.split(", ")])
 
 
 def _same_entity(a: dict, b: dict) -> bool:
@@ -263,7 +275,8 @@ def _same_entity(a: dict, b: dict) -> bool:
         return alike(a["sur"], b["sur"])
     if a["sur"] != b["sur"]:
         return False
-    return alike(a["given"], b["given"]) or min(len(a["given"]), len(b["given"])) >= 3 and one_slip(a["given"], b["given"]) and not {a["given"], b["given"]} <= _FORMAL
+    short = min(len(a["given"]), len(b["given"])) < 4
+    return alike(a["given"], b["given"], 3) and not (short and {a["given"], b["given"]} <= _FORMAL)
 
 
 def _fit(p: dict, f: dict, titles: list[str], middles: list[str], gender: str) -> int:
@@ -345,6 +358,22 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
+def met_pairs(keyed: DataFrame, hot: int = HOT_BLOCK) -> DataFrame:
+    """(book_id, x, y), x < y: the spellings (book_id, name, key) that share a key.
+
+    Blocks of more than ``hot`` spellings are split: each part of the block meets copies of the whole.
+    """
+    size = keyed.groupBy("book_id", "key").agg(F.ceil(F.count("*") / hot).alias("parts")).where("parts > 1")
+    left, right, on = keyed, keyed, ["book_id", "key"]
+    if not size.isEmpty():
+        sized = materialize(keyed.join(size, on, "left").withColumn("parts", F.coalesce("parts", F.lit(1))), "p4-blocks")
+        left = sized.withColumn("part", F.pmod(F.xxhash64("name"), F.col("parts"))).drop("parts")
+        right = sized.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).drop("parts")
+        on = [*on, "part"]
+    met = left.withColumnRenamed("name", "x").join(right.withColumnRenamed("name", "y"), on).where("x < y")
+    return met.select("book_id", "x", "y").distinct()
+
+
 def name_entities(roster: DataFrame, segments: DataFrame) -> DataFrame:
     """(book_id, name, entity): the entity of every spelling that belongs to one.
 
@@ -360,8 +389,7 @@ def name_entities(roster: DataFrame, segments: DataFrame) -> DataFrame:
 
     # 1. full names: links inside blocks, and inside roster entries
     core = parsed.where("kind in ('full', 'org')")
-    by_key = core.select("book_id", "name", F.explode("keys").alias("key")).where(~F.col("key").startswith("g:") & ~F.col("key").startswith("a:"))
-    met = by_key.alias("l").join(by_key.alias("r"), ["book_id", "key"]).where("l.name < r.name").select("book_id", F.col("l.name").alias("x"), F.col("r.name").alias("y")).distinct()
+    met = met_pairs(core.select("book_id", "name", F.explode("own").alias("key")))
     links = met.mapInArrow(_pairs_alike, "book_id string, x string, y string")
     full_of = materialize(listed.join(core.select("book_id", "name"), ["book_id", "name"]), "p4-full")
     head = full_of.groupBy("book_id", "character_id").agg(F.min("name").alias("x"))
@@ -404,5 +432,11 @@ def name_entities(roster: DataFrame, segments: DataFrame) -> DataFrame:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of spellings of a book that mean the same person or organisation."""
     e = materialize(name_entities(table(spark, sf_dir, "roster"), table(spark, sf_dir, "segments")), "p4-entities")
-    a, b = e.withColumnRenamed("name", "name_a"), e.withColumnRenamed("name", "name_b")
-    return a.join(b, ["book_id", "entity"]).where("name_a < name_b").select("book_id", "name_a", "name_b")
+    return met_pairs(e.select("book_id", "name", F.col("entity").alias("key"))).select("book_id", F.col("x").alias("name_a"), F.col("y").alias("name_b"))
+
+
+def p4_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling that belongs to a person or organisation, its entity, and how many other spellings are linked to it."""
+    e = materialize(name_entities(table(spark, sf_dir, "roster"), table(spark, sf_dir, "segments")), "p4-entities")
+    sizes = e.groupBy("book_id", "entity").agg((F.count("*") - 1).alias("links"))
+    return e.join(sizes, ["book_id", "entity"]).select("book_id", "name", "entity", "links")

@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_found": pieces.p3_found,
         "p3_pieces": pieces.p3_pieces,
         "p4_found": names.p4_found,
+        "p4_entities": names.p4_entities,
         "p5_found": canonical.p5_found,
         "p5_forms": canonical.p5_forms,
         "p6_ids": encoding.p6_ids,

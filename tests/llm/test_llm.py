@@ -191,16 +191,35 @@ def test_name_parts():
     assert names.contracts("benj", "benjamin") and names.contracts("hy", "henry") and not names.contracts("by", "henry")
 
 
+def test_jaro_winkler_decides():
+    """One slip anywhere passes at every length; several slips pass behind a common beginning."""
+    random.seed(8)
+    for _ in range(2000):
+        a = "".join(random.sample("abcdelmnorst", random.randint(4, 12)))
+        i = random.randrange(len(a) - 1)
+        for b in (a[:i] + "z" + a[i:], a[:i] + a[i + 1 :], a[:i] + "z" + a[i + 1 :], a[:i] + a[i + 1] + a[i] + a[i + 2 :]):
+            assert min(len(a), len(b)) < 4 or names.alike(a, b), (a, b)
+    assert names.alike("norworth", "nrworth") and names.alike("sallerson", "sarlerson") and names.alike("hathermere", "hatherme")
+    assert not names.alike("hartwell", "hartwood") and not names.alike("ann", "anne") and not names.alike("", "abcd")
+
+
 def test_long_organisation_names_meet():
-    """Two spellings whose codes are beyond the bound share a key when one consonant is left out."""
+    """Two spellings with a very long code share a key when one consonant is left out."""
     words = ["brtkmldrg", "drtkmlbrg", "ktrmldbrg", "lmtrkdbrg", "mtrkldbrg", "company"]
     keys = lambda ws: {k for k in names._keys(names.parse("the " + " ".join(ws))) if k.startswith("o:")}
-    assert len(names.phonetic("".join(words))) > names.LONGEST_CODE
+    assert len(names.phonetic("".join(words))) > names.LONG_CODE
     for w in range(5):
         for i in range(2, 9):
             assert keys(words) & keys([*words[:w], words[w][:i] + words[w][i + 1 :], *words[w + 1 :]]), (w, i)
 
 
+@pytest.mark.parametrize("hot", [2000, 3])
+def test_hot_blocks_meet_whole(spark, hot):
+    rows = [("b", f"n{i:02}", k) for i in range(20) for k in ("k", f"k{i % 4}")] + [("c", "n00", "k")]
+    got = names.met_pairs(spark.createDataFrame(rows, "book_id string, name string, key string"), hot)
+    assert sorted((r.x, r.y) for r in got.collect()) == [(f"n{i:02}", f"n{j:02}") for i in range(20) for j in range(i + 1, 20)]
+
+
 def test_names(spark):
     roster = spark.createDataFrame(
         [
@@ -339,7 +358,7 @@ def test_very_long_values(spark):
     starts, ends, _, _ = sentences.scan(quotes)
     assert len(starts) > 40_000 and ends[-1] == len(quotes.rstrip())
     assert len(pieces.cut(quotes, 100, 10, "word")) > 1000
-    assert len(names.block_codes("bdfgklmnprst" * 5_000)) == 1 and names.parse("x" * 50_000)["sur"]
+    assert len(names.block_codes("bdfgklmnprst" * 5_000)) == 3 and names.parse("x" * 50_000)["sur"]
     p = passage(1)
     ids = leaks.Index([(1, p)])
     words = ["filler"] * 200_000 + p + ["filler"] * 200_000
