@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": canonical.p5_found,
         "p5_forms": canonical.p5_forms,
         "p6_ids": encoding.p6_ids,
+        "p6_decoded": encoding.p6_decoded,
         "p7_found": leaks.p7_found,
         "p8_found": subjects.p8_found,
         "p8_mixtures": subjects.p8_mixtures,
@@ -38,4 +39,5 @@ def oracle_sql() -> dict[str, str]:
             from segments s left join run_configs c on c.config_id = s.config_id
             where case when coalesce(c.size_unit, 'word') = 'char' then length(s.text) else len(regexp_extract_all(s.text, '{WORD}')) end > coalesce(c.chunk_size, 1000)
         """,
+        "p6_decoded": "select doc_id, coalesce(text, '') as text from documents",
     }

@@ -40,7 +40,7 @@ from quillspark.storage import materialize
 #: Share of a document's sentences from which it has a subject.
 LEAST_SHARE = 1 / 8
 #: Leaves of the clustering, and places that terms are hashed to for it.
-LEAVES, FEATURES = 1024, 1 << 11
+LEAVES, FEATURES = 1024, 1 << 10
 #: A cluster of fewer documents is not divided.
 LEAST_LEAF = 20
 #: A term sets a leaf apart if so many of its documents have it, this many times the corpus' rate.
@@ -140,7 +140,7 @@ def clustered(sentences: DataFrame, leaves: int, features: int) -> DataFrame:
     scaled = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2).fit(counted).transform(counted)
     vectors = Normalizer(inputCol="tfidf", outputCol="features").transform(scaled)
     # the fit reads nothing but the vectors and keeps them while it lasts
-    model = BisectingKMeans(k=leaves, maxIter=6, seed=42, minDivisibleClusterSize=LEAST_LEAF, featuresCol="features", predictionCol="leaf").fit(vectors.select("features"))
+    model = BisectingKMeans(k=leaves, maxIter=5, seed=42, minDivisibleClusterSize=LEAST_LEAF, featuresCol="features", predictionCol="leaf").fit(vectors.select("features"))
     return materialize(model.transform(vectors).select("row", "doc_id", "sentences", "leaf"), "p8-leaves")
 
 

@@ -255,6 +255,32 @@ def test_encoding(spark):
     assert encoding.encode_documents(df.limit(0)).count() == 0
 
 
+def test_encoding_round_trip(spark):
+    """Decoding gives every text back; null and empty lists give an empty text."""
+    texts = ["It was a dark night.", None, "", " \n\n x  y", "日本語 ไทย é🙂", "a" * 3000, "It was a dark night."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    back = {r.doc_id: r.text for r in encoding.decode_documents(encoding.encode_documents(df)).collect()}
+    assert back == {i: t or "" for i, t in enumerate(texts)}
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [-5]), (None, [64])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in encoding.decode_documents(odd).collect()} == {1: "", 2: "", 3: "", None: "a"}
+
+
+def test_encoding_of_long_words():
+    """Many pairs of a long word go in one round, with the ids that one pair at a time gives."""
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    encoder = encoding.WordEncoder(encoding.vocabulary_path())
+    r = random.Random(2)
+    words = ["a" * 9_999, "ab" * 5_000, "=-" * 700 + "-" * 900, "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8_000)), "".join(r.choice("etaoinsh") for _ in range(4_000)), "".join(chr(r.randint(0x4E00, 0x5800)) for _ in range(3_000))]
+    words += ["".join(r.choice("aab-=e") for _ in range(r.randint(1, 60))) for _ in range(800)]
+    got = [x for part in encoding._portions(words) for x in encoder.encode(part)]
+    for w, ids in zip(words, got):
+        assert list(ids) == t.encode(w, add_special_tokens=False).ids, w[:60]
+
+
 def passage(seed, n=40):
     r = random.Random(seed)
     return [r.choice("alder birch cedar drift ember fjord glade heath inlet jetty knoll larch marsh north ochre plume quarry ridge".split()) + str(r.randint(0, 30)) for _ in range(n)]
