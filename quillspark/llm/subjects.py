@@ -1,6 +1,7 @@
 """Problem 8: the subjects of each document, by clusters.
 
-Documents become normalised TF-IDF vectors (hashed to ``FEATURES`` places) and are
+Documents become normalised TF-IDF vectors (each term is added to or taken from ``PLACES`` of
+``FEATURES`` places by its hash; document frequencies are counted by ``BUCKETS`` of hashes) and are
 clustered by bisecting k-means into up to ``LEAVES`` leaves, enough that languages,
 subjects and their pairs need not share one. A leaf is labelled by its discriminative
 terms, those that are more frequent in it than in the corpus: where they are terms of the
@@ -27,7 +28,9 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,8 +42,10 @@ from quillspark.storage import materialize
 
 #: Share of a document's sentences from which it has a subject.
 LEAST_SHARE = 1 / 8
-#: Leaves of the clustering, and places that terms are hashed to for it.
-LEAVES, FEATURES = 1024, 1 << 10
+#: Leaves of the clustering, places of its vectors, and buckets of document frequencies.
+LEAVES, FEATURES, BUCKETS = 1024, 256, 1 << 16
+#: Places that a term has in a vector.
+PLACES = 4
 #: A cluster of fewer documents is not divided.
 LEAST_LEAF = 20
 #: A term sets a leaf apart if so many of its documents have it, this many times the corpus' rate.
@@ -128,17 +133,62 @@ def _lexicons(b: pa.RecordBatch, lexicon: dict[str, str] | None) -> Iterator[dic
             yield {e["term"]: e["subject"] for e in x or []}
 
 
+def _codes(sentences: list[list[list[str]] | None], known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, occurrences) of every term of every document."""
+    if len(known) > 200_000:
+        known.clear()
+    row, code, times = [], [], []
+    for i, doc in enumerate(sentences):
+        counts = Counter(t for s in doc or [] for t in s)
+        row += [i] * len(counts)
+        code += [known[t] if t in known else known.setdefault(t, xxhash.xxh3_64_intdigest(t)) for t in counts]
+        times += counts.values()
+    return np.array(row, np.int64), np.array(code, np.uint64), np.array(times, float)
+
+
+def _frequency_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, n): in how many documents of the task the terms of each bucket occur; bucket -1 counts documents."""
+    known: dict[str, int] = {}
+    n, docs = np.zeros(BUCKETS, np.int64), 0
+    for b in slices(batches):
+        _, code, _ = _codes(b.column(0).to_pylist(), known)
+        n += np.bincount((code % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+        docs += b.num_rows
+    at = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(n[at], docs))], ["bucket", "n"])
+
+
+def _vector_batches(batches: Iterator[pa.RecordBatch], idf: np.ndarray, features: int) -> Iterator[pa.RecordBatch]:
+    known: dict[str, int] = {}
+    for b in slices(batches):
+        row, code, times = _codes(b.column(1).to_pylist(), known)
+        x = np.zeros((b.num_rows, features))
+        weight = times * idf[(code % np.uint64(len(idf))).astype(np.int64)]
+        for k in range(PLACES):
+            sign = np.where(code >> np.uint64(63 - k) & np.uint64(1), 1.0, -1.0)
+            place = (code >> np.uint64(11 * k) & np.uint64(0x7FFF)) % np.uint64(features)
+            np.add.at(x, (row, place.astype(np.int64)), sign * weight)
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * features), pa.array(x.ravel()))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], ["doc_id", "sentences", "x"])
+
+
 def clustered(sentences: DataFrame, leaves: int, features: int) -> DataFrame:
     """(row, doc_id, sentences, leaf) of the documents with text."""
     from pyspark.ml.clustering import BisectingKMeans
-    from pyspark.ml.feature import IDF, HashingTF, Normalizer
-
-    docs = sentences.select("doc_id", "sentences", F.flatten("sentences").alias("terms")).where(F.size("sentences") > 0)
-    counted = materialize(HashingTF(inputCol="terms", outputCol="tf", numFeatures=features).transform(docs).drop("terms").withColumn("row", F.monotonically_increasing_id()), "p8-counted")
-    if counted.isEmpty():
-        return counted.select("row", "doc_id", "sentences", F.lit(0).alias("leaf"))
-    scaled = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2).fit(counted).transform(counted)
-    vectors = Normalizer(inputCol="tfidf", outputCol="features").transform(scaled)
+    from pyspark.ml.functions import array_to_vector
+
+    docs = materialize(sentences.where(F.size("sentences") > 0), "p8-sentences")
+    counts = docs.select("sentences").mapInArrow(_frequency_batches, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
+    n = counts[counts.bucket < 0].n.sum()
+    if not n:
+        return docs.select(F.lit(0).cast("bigint").alias("row"), "doc_id", "sentences", F.lit(0).alias("leaf"))
+    seen = np.zeros(BUCKETS)
+    at = counts[counts.bucket >= 0]
+    seen[at.bucket] = at.n
+    idf = np.where(seen > 1, np.log((n + 1) / (np.minimum(seen, n) + 1)), 0.0)
+    vectors = docs.mapInArrow(lambda it: _vector_batches(it, idf, features), "doc_id bigint, sentences array<array<string>>, x array<double>")
+    vectors = materialize(vectors.withColumn("row", F.monotonically_increasing_id()), "p8-vectors").withColumn("features", array_to_vector("x"))
     # the fit reads nothing but the vectors and keeps them while it lasts
     model = BisectingKMeans(k=leaves, maxIter=5, seed=42, minDivisibleClusterSize=LEAST_LEAF, featuresCol="features", predictionCol="leaf").fit(vectors.select("features"))
     return materialize(model.transform(vectors).select("row", "doc_id", "sentences", "leaf"), "p8-leaves")
