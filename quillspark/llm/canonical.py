@@ -45,6 +45,8 @@ LOOK_ALIKES = {
 PLAIN_TAGS = ("<wide>", "<narrow>", "<isolated>", "<initial>", "<medial>", "<final>")
 #: Joined Latin, Armenian and Hebrew letters, and the two-letter forms.
 JOINED = [*range(0xFB00, 0xFB07), *range(0xFB13, 0xFB18), 0xFB4F, 0x132, 0x133, *range(0x1C4, 0x1CD), 0x1F1, 0x1F2, 0x1F3]
+#: Members of a class above which its pairs are made in parts.
+GROUP_PART = 10_000
 LINE_BREAKS = "\r\x0b\x0c\x85\u2028\u2029"
 _SIZE = sys.maxunicode + 1
 _FAR = 0xF0000  # stands for a row's end; private, and never in the tables
@@ -241,12 +243,11 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def same_reading_pairs(segments: DataFrame) -> DataFrame:
-    """Pairs of segments of a book with different stored texts and one form.
+def same_reading_members(segments: DataFrame) -> DataFrame:
+    """(book_id, k1, k2, segment_id, stored, parts): members of classes of one form with different stored texts.
 
     Needs segment_id, book_id, text. Redelivered rows count once; null and
-    blank texts never count; a null book_id belongs to no book. Columns:
-    segment_id_a < segment_id_b.
+    blank texts never count; a null book_id belongs to no book.
 
     Texts are read once and shrink to digests (128 bits of the form, 64 of the
     stored text). Groups are first reduced to their stored forms, so a group
@@ -256,12 +257,33 @@ def same_reading_pairs(segments: DataFrame) -> DataFrame:
     rows = segments.where(F.col("text").isNotNull() & F.col("book_id").isNotNull()).select("segment_id", "book_id", "text")
     keyed = materialize(rows.mapInArrow(_keys, "segment_id bigint, book_id string, k1 bigint, k2 bigint, stored bigint"), "p5-keys")
     group = ["book_id", "k1", "k2"]
-    several = keyed.groupBy(*group).agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).where("lo <> hi").select(*group)
-    members = keyed.join(several, group, "left_semi").distinct()
-    a = members.select(*group, F.col("segment_id").alias("segment_id_a"), F.col("stored").alias("stored_a"))
-    b = members.select(*group, F.col("segment_id").alias("segment_id_b"), F.col("stored").alias("stored_b"))
-    pairs = a.join(b, group).where("segment_id_a < segment_id_b and stored_a <> stored_b")
-    return pairs.select("segment_id_a", "segment_id_b")
+    several = keyed.groupBy(*group).agg(F.min("stored").alias("lo"), F.max("stored").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    parts = several.select(*group, F.ceil(F.col("n") / GROUP_PART).alias("parts"))
+    return keyed.join(parts, group).distinct()
+
+
+def same_reading_pairs(segments: DataFrame) -> DataFrame:
+    """The pairs segment_id_a < segment_id_b of the members of a class that are stored differently.
+
+    A large class is split: each of its parts meets copies of the whole class.
+    """
+    members = same_reading_members(segments)
+    on = ["book_id", "k1", "k2", "part"]
+    a = members.withColumn("part", F.pmod(F.xxhash64("segment_id"), F.col("parts"))).select(*on, F.col("segment_id").alias("segment_id_a"), F.col("stored").alias("stored_a"))
+    b = members.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))).select(*on, F.col("segment_id").alias("segment_id_b"), F.col("stored").alias("stored_b"))
+    return a.join(b, on).where("segment_id_a < segment_id_b and stored_a <> stored_b").select("segment_id_a", "segment_id_b").distinct()
+
+
+def same_reading_classes(segments: DataFrame) -> DataFrame:
+    """(segment_id, book_id, class, members, forms, links): classes of segments that read the same and are not all stored alike.
+
+    ``class`` is the least segment_id; a member's links are the members less those of its own form.
+    """
+    members = same_reading_members(segments)
+    group = ["book_id", "k1", "k2"]
+    forms = members.groupBy(*group, "stored").agg(F.count("*").alias("of_form"), F.min("segment_id").alias("least"))
+    classes = forms.groupBy(*group).agg(F.min("least").alias("class"), F.sum("of_form").alias("members"), F.count("*").alias("forms"))
+    return members.join(forms.drop("least"), [*group, "stored"]).join(classes, group).select("segment_id", "book_id", "class", "members", "forms", (F.col("members") - F.col("of_form")).alias("links"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,7 +291,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_reading_pairs(table(spark, sf_dir, "segments"))
 
 
+def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as classes, one row per segment."""
+    return same_reading_classes(table(spark, sf_dir, "segments"))
+
+
 def p5_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consistent form of every segment; redelivered rows count once."""
+    """The consistent form of every segment; redelivered rows count once, rows without an id are segments of their own."""
     df = canonical_form(table(spark, sf_dir, "segments").select("segment_id", "text"))
-    return df.groupBy("segment_id").agg(F.any_value("form").alias("form"))
+    return df.where("segment_id is not null").groupBy("segment_id").agg(F.any_value("form").alias("form")).unionByName(df.where("segment_id is null").select("segment_id", "form"))

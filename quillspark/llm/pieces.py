@@ -139,4 +139,5 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every segment that is cut, redelivered segments once."""
     cut_ones = pieces(table(spark, sf_dir, "segments"), table(spark, sf_dir, "run_configs"), only_cut=True)
-    return cut_ones.dropDuplicates(["segment_id", "piece_no"])
+    known = cut_ones.where("segment_id is not null").dropDuplicates(["segment_id", "piece_no"])
+    return known.unionByName(cut_ones.where("segment_id is null"))  # rows without an id are segments of their own

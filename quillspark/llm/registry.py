@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": names.p4_found,
         "p4_entities": names.p4_entities,
         "p5_found": canonical.p5_found,
+        "p5_classes": canonical.p5_classes,
         "p5_forms": canonical.p5_forms,
         "p6_ids": encoding.p6_ids,
         "p6_decoded": encoding.p6_decoded,

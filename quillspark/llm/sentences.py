@@ -50,8 +50,8 @@ BOOK_SHARE, CORPUS_SHARE = 0.25, 0.08
 #: Share of what follows a token that must be known as a name or a common word for its evidence to count.
 TOLD_SHARE = 0.3
 
-#: How far back the opening mark of a quotation is looked for.
-LONGEST_QUOTE = 4000
+#: Letters of a lower-case word from which it is no abbreviation: a rule of the scripts with small letters, not a bound.
+WORD_LETTERS = 7
 INVISIBLE = "\u00ad\u200b-\u200f\u2060-\u2064\ufeff"
 _DROP_INVISIBLE = dict.fromkeys([0xAD, *range(0x200B, 0x2010), *range(0x2060, 0x2065), 0xFEFF])
 _FOLD = str.maketrans(LOOK_ALIKES) | _DROP_INVISIBLE
@@ -64,13 +64,12 @@ _CANDIDATE = re.compile(
     rf"(?:[{INVISIBLE}]*(?:[{_CLOSE}]|[ \u00a0\u202f]»|“(?=[\s{_CLOSE},;:.]|$)))*[{INVISIBLE}]*"
 )
 _BLANK_LINE = re.compile(r"(?:\r\n|\r|\n)[^\S\r\n]*(?:(?:\r\n|\r|\n)[^\S\r\n]*)+")
-_HEADING = re.compile(r"\s*(?:chapter|part|book|section|canto|act|scene|letter|kapitel|chapitre|capítulo|глава)\s+[\divxlcdm]+\b[^\r\n]{0,160}\s*", re.I)
+_HEADING = re.compile(r"\s*(?:chapter|part|book|section|canto|act|scene|letter|kapitel|chapitre|capítulo|глава)\s+[\divxlcdm]+\b[^\r\n]*\s*", re.I)
 _THAI = re.compile(r"[\u0e00-\u0e7f]")
 _THAI_GAP = re.compile(rf"(?<=[\u0e00-\u0e7f{INVISIBLE}”’»\")\]])\s+(?=[“‘«(\[{INVISIBLE}]*[\u0e00-\u0e7f])")
 _GREEK = re.compile(r"[α-ωά-ώἀ-\u1fff]")
 _MID_CAPITAL = re.compile(r"(?<=[a-zà-öø-ÿа-яёα-ω,;] )[A-ZÀ-ÖØ-ÞА-ЯΑ-Ω]\w+(?![\w.])")
 _WORD = re.compile(r"\w+(?:[.’']\w+)*")
-_TOKEN = re.compile(r"(?:(?<![^\W\d_])[^\W\d_]\.\s)?[^\s“”‘«»„(\[{「『—,;:!?]+$")
 
 # How a speech tag after a closing quotation mark goes on, in scripts without capitals.
 _TAG_HAN = re.compile(r"[^，。！？、“”「」：\s]{1,16}?(?:说|說|问|問|道|答|喊|叫|曰|讲)(?:着|了)?[，。！？,：]")
@@ -79,6 +78,9 @@ _TAG_KO = re.compile(r"(?:하고|하며|라고|라며|이라고|고|며|라는)(
 _TAG_HI = re.compile(r"(?:[^\s।!?“”]+\s+){0,5}(?:कहा|पूछा|बोला|बोली|बोले|चिल्लाया)")
 _TAG_AR = re.compile(r"(?:قال|قالت|سأل|سألت|أجاب|أجابت|صاح|صاحت|همس|همست)(?:\s|$)")
 _TAG_TH = re.compile(r"[\u0e00-\u0e7f]{0,24}?(?:กล่าว|ถาม|พูด|ตอบ|ตะโกน)")
+#: What ends the stretch that a tag is looked for in.
+_REST = re.compile(r"[^.!?…。！？।॥؟\r\n]*[.!?…。！？।॥؟\r\n]?")
+_STOPS = re.compile(r"[\s“”‘«»„(\[{「『—,;:!?]+")
 _QUOTES = {"”": "“", "»": "«", "」": "「", "』": "『", '"': '"', "’": "‘", "“": "„"}
 
 
@@ -99,20 +101,49 @@ def _script(ch: str) -> str:
     return ""
 
 
-def _is_tag(text: str, j: int, script: str, closers: str, at: int) -> bool:
+class _Places:
+    """Where the marks of a text are, found once when they are first asked for, so that looking back takes no longer in long texts."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.opens: dict[str, list[int]] = {}
+        self.stops: list[tuple[int, int]] | None = None
+
+    def last_open(self, mark: str, before: int) -> int:
+        """The last ``mark`` before a position, or -1."""
+        if mark not in self.opens:
+            self.opens[mark] = [m.start() for m in re.finditer(re.escape(mark), self.text)]
+        k = bisect_left(self.opens[mark], before)
+        return self.opens[mark][k - 1] if k else -1
+
+    def token(self, low: int, end: int) -> str:
+        """The token that ends at ``end``, with a single initial before it."""
+        if self.stops is None:
+            self.stops = [m.span() for m in _STOPS.finditer(self.text)]
+        k = bisect_left(self.stops, (end,))
+        start = max(low, self.stops[k - 1][1] if k else 0)
+        found = self.text[start:end]
+        if k and found and start > low and self.stops[k - 1][1] - self.stops[k - 1][0] == 1 and self.text[start - 1].isspace():
+            i = start - 3  # an initial with its period, and no letter before it
+            if i >= low and self.text[i + 1] == "." and self.text[i].isalpha() and not (i > low and self.text[i - 1].isalpha()):
+                return self.text[i:end]
+        return found
+
+
+def _is_tag(text: str, j: int, script: str, closers: str, at: int, places: _Places) -> bool:
     """Whether a speech tag, or the rest of the sentence around it, follows a closed quotation at ``j``."""
     close = next((c for c in reversed(closers) if c in _CLOSE or c == "“"), "")
     if not close:
         return False
-    # what follows, however its characters are stored
-    rest = unicodedata.normalize("NFC", text[j : j + 80].translate(_DROP_INVISIBLE))
+    # what follows up to the next end mark, however its characters are stored
+    rest = unicodedata.normalize("NFC", _REST.match(text, j).group().translate(_DROP_INVISIBLE))
     if script in ("han", "ja"):
         if _TAG_JA.match(rest):
             return True
         if script == "ja":
             return False
     if close in _QUOTES:
-        opened = text.rfind(_QUOTES[close], max(0, at - LONGEST_QUOTE), at)
+        opened = places.last_open(_QUOTES[close], at)
         before = text[max(0, opened - 3) : opened].rstrip() if opened > 0 else ""
         if before and before[-1] in ":：,，،、":
             return False
@@ -143,6 +174,7 @@ def scan(text: str) -> tuple[list[int], list[int], list[tuple[int, str, str]], l
     open_: list[tuple[int, str, str]] = []
     openers: list[str] = []
     at = 0
+    marks = _Places(text)
     blocks = []
     if "\n" in text or "\r" in text:
         for m in _BLANK_LINE.finditer(text):
@@ -159,7 +191,7 @@ def scan(text: str) -> tuple[list[int], list[int], list[tuple[int, str, str]], l
         if lo == hi:
             continue
         begin = lo
-        if len(blocks) > 1 and hi - lo < 200 and _HEADING.fullmatch(text, lo, hi):
+        if len(blocks) > 1 and _HEADING.fullmatch(text, lo, hi):
             starts.append(lo)
             ends.append(hi)
             continue
@@ -211,8 +243,7 @@ def scan(text: str) -> tuple[list[int], list[int], list[tuple[int, str, str]], l
                 elif dot and not ellipsis:
                     if not (prev.islower() and p > lo and text[p - 1].isalpha() and nxt.isupper()):
                         continue
-                    word = _TOKEN.search(text, max(lo, s - 24), s)
-                    if word and "." in word.group():
+                    if "." in marks.token(lo, s):
                         continue
                 elif script in ("hi", "ar", "ko", "th"):
                     pass
@@ -221,7 +252,7 @@ def scan(text: str) -> tuple[list[int], list[int], list[tuple[int, str, str]], l
             if nxt in ",;:،、，；：.!?…。！？)]}）」』】”’»":
                 continue
             if script:
-                if quoted and _is_tag(text, k, script, text[s + 1 : e], s):
+                if quoted and _is_tag(text, k, script, text[s + 1 : e], s, marks):
                     continue
                 if dot and not ellipsis and script == "hi":
                     p = s - 1
@@ -233,15 +264,14 @@ def scan(text: str) -> tuple[list[int], list[int], list[tuple[int, str, str]], l
                 continue
             certain = True
             if dot and not ellipsis and not quoted:
-                m = _TOKEN.search(text, max(lo, s - 28), s)
-                if m and not script:
-                    token = _plain(m.group()).strip("_*'\"")
+                if not script:
+                    token = _plain(marks.token(lo, s)).strip("_*'\"")
                     if token and token[-1].isalpha():
                         w = _WORD.match(text, k)
                         word = _plain(w.group()) if w else nxt
                         if len(word) == 1 and text.startswith(".", w.end() if w else k + 1):
                             word += "."  # an initial, which is no common word
-                        certain = len(token) > 6 and token.isalpha() and token[0].islower()
+                        certain = len(token) >= WORD_LETTERS and token.isalpha() and token[0].islower()
                         if not certain:
                             open_.append((len(ends), re.sub(r"\s+", " ", token), "#" if word[0].isdigit() else word))
             if certain and nxt.isupper():

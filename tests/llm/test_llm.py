@@ -86,11 +86,17 @@ def test_canonical_forms():
     assert canonical.canonical_texts([long])[0] == unicodedata.normalize("NFC", long)
 
 
-def test_same_reading_pairs(spark):
+def test_same_reading_pairs(spark, monkeypatch):
     rows = [(1, "a", "café"), (2, "a", "café"), (3, "a", "café"), (4, "b", "café"), (5, "a", None), (6, "a", " "), (7, "a", " "), (1, "a", "café"), (8, None, "café"), (9, "a", "cafe")]
     got = canonical.same_reading_pairs(spark.createDataFrame(rows, SEG))
     assert sorted(map(tuple, got.collect())) == [(1, 2), (2, 3)]
     assert canonical.same_reading_pairs(spark.createDataFrame([], SEG)).count() == 0
+    copies = [(i, "a", "ﬁx" if i % 3 else "fix") for i in range(30)]
+    want = {(i, j) for i in range(30) for j in range(i + 1, 30) if (i % 3 == 0) != (j % 3 == 0)}
+    df = spark.createDataFrame(copies, SEG)
+    monkeypatch.setattr(canonical, "GROUP_PART", 7)  # a class in parts
+    assert {tuple(r) for r in canonical.same_reading_pairs(df).collect()} == want
+    assert {(r["class"], r.members, r.forms, r.links) for r in canonical.same_reading_classes(df).collect()} == {(0, 30, 2, 10), (0, 30, 2, 20)}
     df = spark.createDataFrame([(1, "x", "old")], "id long, text string, form string")
     assert canonical.canonical_form(df).columns == ["id", "text", "form"]
 
