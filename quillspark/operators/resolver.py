@@ -45,15 +45,12 @@ def base_url(url: str) -> str:
 
 
 def picked_model(offered: list[str], wanted: str | None) -> str:
-    """The model to use: the first one offered if none is wanted, else one that equals it or begins like it."""
-    if not offered:
-        raise ResolverError("the server offers no model")
-    if not wanted:
-        return offered[0]
-    for m in offered:
-        if m == wanted or m.startswith(wanted) or wanted.startswith(m):
-            return m
-    raise ResolverError(f"{wanted} is not among {offered}")
+    """The model to use: the first one offered if none is wanted, else the first where one of both names begins with the other."""
+    fits = [m for m in offered if not wanted or m.startswith(wanted) or wanted.startswith(m)]
+    exact = [m for m in fits if m == wanted]
+    if not fits:
+        raise ResolverError(f"{wanted or 'a model'} is not among {offered}")
+    return (exact or fits)[0]
 
 
 def parsed_answer(content: str) -> dict:
@@ -97,7 +94,7 @@ class RuleResolver:
 
     def resolve(self, system: str, user: str, schema: dict | None) -> str:
         names = [n for n in re.findall(r"^- (.+)$", system, re.M) if n != "Unknown"]
-        flagged = [int(n) for n in re.findall(r"^(\d+)\.[^\n]*\[ASKED\]", user, re.M)]
+        flagged = [int(n) for n in re.findall(r"^(\d+)\t[^\t\n]*\t[^\t\n]*\bASKED\b", user, re.M)]
         return json.dumps({"attributions": [{"index": i, "speaker": names[i % len(names)] if names else "Unknown"} for i in flagged]})
 
 
@@ -110,31 +107,32 @@ def attribution_schema(names: list[str]) -> dict:
 
 #: What each kind of request asks, in this project's own words; {names} are the options, one a line.
 SYSTEM = {
-    "tags": "Some narration lines marked [ASKED] say that someone speaks without a name. Give the speaker of each.\n{names}",
-    "attribute": "Give the speaker of every dialogue line marked [ASKED]. Lines marked [CONTEXT] are settled.\n{names}",
-    "verify": "Independently give the speaker of every dialogue line marked [ASKED]; earlier answers are hidden.\n{names}",
-    "settle": "Two readers disagree on the dialogue lines marked [ASKED]. Decide each from the text.\n{names}",
+    "tags": "Some narration lines marked ASKED say that someone speaks without a name. Give the speaker of each.\n{names}",
+    "attribute": "Give the speaker of every dialogue line marked ASKED. Lines marked CONTEXT are settled.\n{names}",
+    "verify": "Independently give the speaker of every dialogue line marked ASKED; earlier answers are hidden.\n{names}",
+    "settle": "Two readers disagree on the dialogue lines marked ASKED. Decide each from the text.\n{names}",
     "critic": "Check the speakers of this chapter. List corrections, objections to new names, and a quality from 0 to 1.\n{names}",
     "discover": "List the characters who speak or are addressed in this text, with other names used for them.",
     "chapters": "These are numbered lines of a book. List its chapters with their first lines.",
 }
 
 
-def rendered(flag: str = "[ASKED]", mask: bool = False) -> Column:
-    """One prompt line of a segment (seg_idx, seg_type, text, speaker, notes, new_para, is_context, flagged)."""
-    body = F.when(F.length("text") > 300, F.concat(F.substring("text", 1, 300), F.lit("…"))).otherwise(F.col("text"))
-    shown = (F.col("seg_type") == "dialogue") & (F.coalesce("speaker", F.lit("")) != "")
+LINE_TEXT = 300
+
+
+def rendered(flag: str = "ASKED", mask: bool = False) -> Column:
+    """One prompt line of a segment (seg_idx, seg_type, text, speaker, notes, new_para, is_context, flagged).
+
+    ``index <tab> kind <tab> marks <tab> speaker <tab> text``; a blank line stands before a new paragraph.
+    The text is shown up to ``LINE_TEXT`` characters, since a prompt has a budget; the segment stays whole.
+    """
+    known = (F.col("seg_type") == "dialogue") & (F.coalesce("speaker", F.lit("")) != "")
     if mask:
-        shown &= ~F.col("flagged")
-    return F.concat(
-        F.when(F.coalesce("new_para", F.lit(False)), "¶\n").otherwise(""),
-        F.col("seg_idx").cast("string"), F.lit("."),
-        F.when(F.col("is_context"), " [CONTEXT]").otherwise(""), F.when(F.col("flagged"), " " + flag).otherwise(""),
-        F.concat(F.lit(" ["), F.upper("seg_type"), F.lit("]")),
-        F.when(shown, F.concat(F.lit(" speaker="), F.col("speaker"))).otherwise(""),
-        F.lit(" | "), body,
-        F.when(F.col("notes") == "quote-continues", " [SPEECH CONTINUES INTO NEXT SEGMENT]").otherwise(""),
-    )
+        known &= ~F.col("flagged")
+    marks = F.array_join(F.array_compact(F.array(F.when(F.col("is_context"), "CONTEXT"), F.when(F.col("flagged"), flag), F.when(F.col("notes") == "quote-continues", "OPEN"))), ",")
+    shown = F.when(F.length("text") > LINE_TEXT, F.concat(F.left("text", F.lit(LINE_TEXT)), F.lit("…"))).otherwise(F.col("text"))
+    line = F.concat_ws("\t", F.col("seg_idx").cast("string"), F.col("seg_type"), marks, F.when(known, F.col("speaker")).otherwise(""), shown)
+    return F.concat(F.when(F.coalesce("new_para", F.lit(False)), "\n").otherwise(""), line)
 
 
 def requests(segs: DataFrame, flagged: DataFrame, names: DataFrame, key: list[str], kind: str, budget: int = 1000) -> DataFrame:

@@ -133,8 +133,8 @@ def discovery_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""with {Q.SEGS},
 m as (select *, para <> lag(para) over (partition by book_id, chapter_number order by seg_idx) as new_para from segs where text is not null)
-select segment_id, case when coalesce(new_para, false) then '¶' || chr(10) else '' end || seg_idx || '.' || case when seg_type = 'dialogue' and speaker is null then ' [ASKED]' else '' end || ' [' || upper(seg_type) || ']'
- || case when seg_type = 'dialogue' and speaker is not null then ' speaker=' || speaker else '' end || ' | ' || case when length(text) > 300 then left(text, 300) || '…' else text end || case when notes = 'quote-continues' then ' [SPEECH CONTINUES INTO NEXT SEGMENT]' else '' end as line from m""")
+select segment_id, case when coalesce(new_para, false) then chr(10) else '' end || seg_idx || chr(9) || seg_type || chr(9) || concat_ws(',', case when seg_type = 'dialogue' and speaker is null then 'ASKED' end, case when notes = 'quote-continues' then 'OPEN' end)
+ || chr(9) || case when seg_type = 'dialogue' and speaker is not null then speaker else '' end || chr(9) || case when length(text) > 300 then left(text, 300) || '…' else text end as line from m""")
 def prompt_lines(spark: SparkSession, sf: str) -> DataFrame:
     s = G.with_neighbours(segments_once(spark, sf).where("text is not null"), CHAPTER)
     s = s.withColumn("is_context", F.lit(False)).withColumn("flagged", (F.col("seg_type") == "dialogue") & F.col("speaker").isNull())

@@ -441,7 +441,7 @@ class Named:
             f.write(f"{self.name} {kind}\n")
         if kind == "discover":
             return '{"characters": [{"name": "Lucy"}, {"name": "Ann"}]}'
-        return __import__("json").dumps({"attributions": [{"index": int(i), "speaker": self.name} for i in re.findall(r"^(\d+)\.[^\n]*\[ASKED\]", user, re.M)], "overall_quality": 0.25 if self.name == "Ann" else 0.75})
+        return __import__("json").dumps({"attributions": [{"index": int(i), "speaker": self.name} for i in re.findall(r"^(\d+)\t[^\t\n]*\t[^\t\n]*ASKED", user, re.M)], "overall_quality": 0.25 if self.name == "Ann" else 0.75})
 
 
 def test_validator_checks(spark, tmp_path, monkeypatch):
