@@ -219,7 +219,7 @@ def judged(segs: DataFrame, said: DataFrame, key: list[str], budget: int) -> tup
 
     ids = Wn.segment_windows(segs, key, budget)
     own = said.where("seg_idx is not null").join(ids, [*key, "window_id", "seg_idx"], "left_semi").select(*key, "seg_idx", "speaker", "ord")
-    issues = said.where("issue is not null").select(*key, F.col("issue").alias("name"), "verdict", "canonical", (F.col("window_id") * 10_000 + F.col("ord")).alias("ord"))
+    issues = said.where("issue is not null").select(*key, F.col("issue").alias("name"), "verdict", "canonical", F.struct("window_id", "ord").alias("ord"))
     talk = ids.join(segs.where("seg_type = 'dialogue'").select(*key, "seg_idx"), [*key, "seg_idx"], "left_semi").groupBy(*key, "window_id").agg(F.count("*").alias("dialogue"))
     windows = ids.select(*key, "window_id").distinct().join(talk, [*key, "window_id"], "left").join(said.where("quality is not null").select(*key, "window_id", "quality"), [*key, "window_id"], "left")
     return own, issues, quality(windows.withColumn("dialogue", F.coalesce("dialogue", F.lit(0))), key)

@@ -1,9 +1,12 @@
 """From book texts to one document per book: the stages as tables.
 
 Chapters of all books are found, cut and attributed together. What depends on the order of
-chapters is the roster only; it is folded per book. With a critic the chapters of a book would
+chapters is the roster; it is folded per book, and a chapter is attributed with the roster as it
+stands after that chapter, so no name from a later one gets in. With a critic the chapters of a book would
 have to wait for each other; here the critic judges all chapters at once, its objections are
 applied in reading order to the last roster, and its corrections to the segments.
+
+A stage is a table for one set of books; another book, or another text of one, makes another set.
 """
 
 from __future__ import annotations
@@ -86,13 +89,17 @@ def discovered_characters(texts: DataFrame, factory: Callable[[], R.Resolver], r
 def attribute(segs: DataFrame, roster: DataFrame, factory: Callable[[], R.Resolver] | None, config: Config, validator: Callable[[], R.Resolver] | None = None) -> DataFrame:
     """Speakers: tags first, then the passes of a resolver where one is given; the rest is ``Unknown``.
 
-    The blind pass and the tie-break ask the validator, by default the same resolver.
+    The blind pass and the tie-break ask the validator, by default the same resolver. A roster with
+    chapter_number is the one that counts in that chapter.
     """
     validator = validator or factory
-    amap = A.map_of_aliases(A.alias_map(roster, "book_id"), "book_id")
-    said = materialize(A.anchors(segs.join(amap, "book_id", "left"), KEY).withColumn("speaker", F.col("anchor")), "anchored")
+    on = [k for k in KEY if k in roster.columns]
+    keyed = roster.withColumn("_at", F.struct(*on))
+    amap = A.map_of_aliases(A.alias_map(keyed, "_at"), "_at").select("_at.*", "amap")
+    said = materialize(A.anchors(segs.join(amap, on, "left"), KEY).withColumn("speaker", F.col("anchor")), "anchored")
     if factory is not None:
-        names = materialize(roster.where("name is not null").select("book_id", "ord", "name").unionByName(O.missed_names(said, roster, "book_id").select("book_id", F.lit(1_000_000).alias("ord"), "name")), "names")
+        missed = O.missed_names(said.withColumn("_at", F.struct(*on)), keyed, "_at").select("_at.*", F.lit(1_000_000).alias("ord"), "name")
+        names = materialize(roster.where("name is not null").select(*on, "ord", "name").unionByName(missed), "names")
         told = G.with_neighbours(said, KEY)
         tags = A.nameless_tags(told)
         answers = R.answered(R.requests(told, tags, names, KEY, "tags", config.chunk_size), factory, KEY, config.max_retries)
@@ -107,16 +114,30 @@ def attribute(segs: DataFrame, roster: DataFrame, factory: Callable[[], R.Resolv
     return said.withColumn("speaker", F.when(F.col("seg_type") == "dialogue", F.coalesce("speaker", F.lit("Unknown")))).drop("amap")
 
 
+def rosters_by_chapter(rolling: DataFrame, chapters: DataFrame) -> DataFrame:
+    """The roster as it stands after each of ``chapters`` (book_id, chapter_number): of the last chapter, up to that one, that changed it."""
+    states = rolling.select(*KEY, F.col("chapter_number").alias("state")).distinct()
+    asked = chapters.select(*KEY).distinct().withColumn("state", F.lit(None).cast("int"))
+    so_far = Window.partitionBy("book_id").orderBy("chapter_number").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    at = states.unionByName(asked).withColumn("state", F.max("state").over(so_far)).where("state is not null").select(*KEY, "state").distinct()
+    entries = rolling.withColumnRenamed("chapter_number", "state")
+    return at.join(entries, ["book_id", "state"]).drop("state").join(asked.select(*KEY), KEY, "left_semi")
+
+
 def run(texts: DataFrame, config: Config, factory: Callable[[], R.Resolver] | None = None, validator: Callable[[], R.Resolver] | None = None) -> DataFrame:
     """(book_id, document) of books (book_id, text); the validator, by default the same resolver, checks speakers and is the critic."""
     spark = texts.sparkSession
     validator = validator or factory
 
+    # the stages of a run are those of its books as they are now; what a run over some chapters computes is never taken for the whole book
+    books = texts.agg(F.coalesce(F.sum(F.xxhash64("book_id", "text").cast("decimal(38,0)")), F.lit(0)).cast("string")).first()[0]
+    some = f"-chapters-{'-'.join(map(str, sorted(config.chapters_only)))}" if config.chapters_only else ""
+
     def stage(n: int, name: str, df: DataFrame) -> DataFrame:
-        path = f"{config.stage_path(n)}/{name}"
+        path = f"{config.stage_path(n)}/{name}{some if n > 2 else ''}/books={books.replace('-', 'm')}"
         if config.must_run(n, B.stage_complete(spark, path)):
             B.write_stage(df, path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     lines, meta, heads = discover(texts, config, factory)
     meta, heads = stage(2, "metadata", meta), stage(2, "chapters", heads)
@@ -130,7 +151,7 @@ def run(texts: DataFrame, config: Config, factory: Callable[[], R.Resolver] | No
     rolling = stage(5, "rosters", O.rolling_rosters(found, first, "book_id"))
     last = rolling.groupBy("book_id").agg(F.max("chapter_number").alias("chapter_number"))
     roster = rolling.join(last, KEY, "left_semi")
-    done = stage(5, "segments", attribute(segs, roster, factory, config, validator).withColumn("pronunciation_hints", F.array().cast("array<string>")))
+    done = stage(5, "segments", attribute(segs, rosters_by_chapter(rolling, segs), factory, config, validator).withColumn("pronunciation_hints", F.array().cast("array<string>")))
     quality = None
     if factory is not None and not config.no_critic:
         # the critic reads finished chapters; named tags outrank it
@@ -140,7 +161,7 @@ def run(texts: DataFrame, config: Config, factory: Callable[[], R.Resolver] | No
         better, issues, quality = R.judged(s, said, KEY, config.chunk_size)
         done = materialize(A.corrections(done, better, KEY), "corrected")
         kept = first.where("anchor is not null").groupBy("book_id").agg(F.collect_set(F.lower("anchor")).alias("names"))
-        roster = O.objected(roster, issues.select("book_id", "name", "verdict", "canonical", (F.col("chapter_number") * 1_000_000 + F.col("ord")).alias("ord")), kept, "book_id")
+        roster = O.objected(roster, issues.select("book_id", "name", "verdict", "canonical", F.struct("chapter_number", "ord").alias("ord")), kept, "book_id")
         roster = materialize(roster, "objected")
         stage(6, "checks", O.chapter_checks(done, roster, KEY))
     final = O.merged_rosters(roster, "book_id")

@@ -1,7 +1,8 @@
 """Cutting lineage with tables in the shared folder of the cluster.
 
 The folder is the one the session names in ``spark.checkpoint.dir``; only where
-that is unset (tests, a notebook on one machine) a local folder is chosen.
+that is unset and the session runs on one machine (tests, a notebook) a local folder is chosen;
+on a cluster an unset folder is an error.
 Tables are written with Spark's commit protocol, so a lost executor costs the
 recomputation of its tasks and nothing else.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,6 +26,8 @@ def shared_root(spark: SparkSession) -> str:
     if app not in _ROOTS:
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not base:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = "file://" + os.path.join(tempfile.gettempdir(), "quillspark-checkpoints")
             spark.sparkContext.setCheckpointDir(base)
         _ROOTS[app] = f"{base.rstrip('/')}/quillspark-{app}"

@@ -378,7 +378,7 @@ class Scripted:
         if system.startswith("List the characters"):
             return json.dumps({"characters": [{"name": "Bob", "aliases": ["Bobby"]}, {"name": "Pequod"}, {"name": "N/A"}]})
         if system.startswith("Check"):
-            index = [int(x) for x in re.findall(r"^(\d+)\. \[DIALOGUE\][^\n]*Now", user, re.M)]
+            index = [int(x) for x in re.findall(r"^(\d+)\tdialogue\t[^\n]*Now", user, re.M)]
             return json.dumps({"corrections": [{"index": i, "speaker": "Bob"} for i in index] + [{"index": 999, "speaker": "Bob"}], "roster_issues": [{"name": "Pequod", "verdict": "not_a_character"}, {"name": "Lucy", "verdict": "not_a_character"}], "overall_quality": 0.5})
         if system.startswith("These are numbered"):
             return "no JSON"
@@ -418,15 +418,19 @@ def test_sources_and_pipeline(spark, tmp_path):
     assert d["statistics"]["total_chapters"] == 2 and [c["name"] for c in d["characters"]] == ["Lucy", "Ann"]
     said = [(s["text"], s["speaker"]) for c in d["chapters"] for s in c["processed"]["segments"] if s["type"] == "dialogue"]
     assert said == [("“Come,”", "Lucy"), ("“it is late.”", "Lucy"), ("“Go,”", "Ann"), ("“Now.”", "Unknown")]
-    assert books.stage_complete(spark, config.stage_path(2) + "/chapters") and not books.stage_complete(spark, str(tmp_path / "none"))
+    (stage,) = (tmp_path / "cache" / "02-discovery" / "chapters").iterdir()
+    assert books.stage_complete(spark, str(stage)) and not books.stage_complete(spark, str(tmp_path / "none"))
     judged = run(read, Config(cache_dir=str(tmp_path / "critic")), Scripted).collect()
     d = {x["metadata"]["title"]: x for x in (__import__("json").loads(r.document) for r in judged)}["The Weir"]
     assert [c["name"] for c in d["characters"]] == ["Bob", "Lucy", "Ann"]  # the ship is struck, a tagged name stays
     assert d["statistics"]["discovery_confidence"] == {"avg_confidence": 0.5, "min_confidence": 0.5}
     said = [(s["text"], s["speaker"]) for c in d["chapters"] for s in c["processed"]["segments"] if s["type"] == "dialogue"]
     assert said == [("“Come,”", "Lucy"), ("“it is late.”", "Lucy"), ("“Go,”", "Ann"), ("“Now.”", "Bob")]
-    only = run(read, Config(cache_dir=str(tmp_path / "some"), chapters_only=[1], no_critic=True), resolver.RuleResolver)
-    assert only.count() >= 1
+    # a run over some chapters, with another book, on the same cache: its stages are its own
+    more = read.where("book_id = '41'").withColumn("text", F.replace("text", F.lit("Lucy"), F.lit("Maud")))
+    only = __import__("json").loads(run(more, Config(cache_dir=config.cache_dir, chapters_only=[1])).first().document)
+    assert [c["name"] for c in only["characters"]] == ["Maud"] and len(only["chapters"]) == 1
+    assert {p.name for p in (tmp_path / "cache" / "05-segments").iterdir()} == {"rosters", "segments", "rosters-chapters-1", "segments-chapters-1"}
 
 
 class Named:
@@ -477,6 +481,27 @@ def test_stream(spark, tmp_path):
     assert got == {("b", 1): ["Lucy"], ("b", 2): ["Lucy Oak"], ("b", 3): ["Lucy Oak", "Bob"], ("c", 1): ["Zed"]}
 
 
+def test_rosters_look_forward_only(spark):
+    from quillspark.plans.pipeline import rosters_by_chapter
+
+    rolling = spark.createDataFrame([("b", 2, 0, "Lucy"), ("b", 5, 0, "Lucy"), ("b", 5, 1, "Ann"), ("c", 9, 0, "Zed")], "book_id string, chapter_number int, ord int, name string")
+    chapters = spark.createDataFrame([("b", k) for k in (1, 2, 3, 5, 6)] + [("c", 8)], "book_id string, chapter_number int")
+    got = sorted((r.book_id, r.chapter_number, r.name) for r in rosters_by_chapter(rolling, chapters).collect())
+    assert got == [("b", 2, "Lucy"), ("b", 3, "Lucy"), ("b", 5, "Ann"), ("b", 5, "Lucy"), ("b", 6, "Ann"), ("b", 6, "Lucy")]
+
+
+def test_shared_folder_is_demanded_on_a_cluster():
+    from quillspark import storage
+
+    class Cluster:
+        applicationId, master = "app-x", "spark://host:7077"
+        getConf = lambda self: {}
+
+    fake = type("S", (), {"sparkContext": Cluster(), "conf": type("C", (), {"get": lambda self, k, d: d})()})()
+    with pytest.raises(ValueError):
+        storage.shared_root(fake)
+
+
 def test_registry_and_patterns():
     q = registry.queries()
     assert set(registry.oracle_sql()) <= set(q) and len(q) > 50
