@@ -142,8 +142,7 @@ def sentences(x: Column) -> Column:
 
 def _joined(parts: Column) -> Column:
     def mark(p: Column, i: Column) -> Column:
-        # an abbreviation is short, so the end of the piece is enough to see one
-        held = F.right(p, F.lit(64)).rlike(P.HELD_PERIOD)
+        held = p.rlike(P.HELD_PERIOD)
         small = F.coalesce(F.get(parts, i + 1), F.lit("")).rlike(r"^\p{Ll}")
         return F.concat(p, F.when(small | held, "").otherwise("\x02"))
 

@@ -140,14 +140,13 @@ def first_chapter_promotion(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""with {Q.CHAPTERS},
-k as (select book_id, chapter_number, title, start_line, {Q.kind("coalesce(title, '')")} as kind from chaps where start_line >= 1 and start_line <= 3000),
+body as (select book_id, body_end_line - body_start_line as body from (select *, row_number() over (partition by book_id order by ingested_at desc) as nth from books) where nth = 1),
+lines as (select c.book_id, coalesce(max(b.body), max(c.end_line)) as line_count from chaps c left join body b on b.book_id = c.book_id group by c.book_id),
+k as (select c.book_id, chapter_number, title, start_line, {Q.kind("coalesce(title, '')")} as kind from chaps c join lines l on l.book_id = c.book_id where start_line >= 1 and start_line <= line_count),
 f as (select *, row_number() over (partition by book_id, start_line order by chapter_number) as nth from k where kind = 'body')
 select book_id, row_number() over (partition by book_id order by start_line, chapter_number)::int as number, title, start_line, kind from f where nth = 1""")
 def validated_chapters(spark: SparkSession, sf: str) -> DataFrame:
-    """Each book is bounded by the lines of its own body; where books does not tell them, by its chapters' largest end.
-
-    The SQL above still has 3000 for every book, so it lacks the chapters of longer books that start beyond.
-    """
+    """Each book is bounded by the lines of its own body; where books does not tell them, by its chapters' largest end."""
     c = chapters_once(spark, sf)
     body = O.latest(table(spark, sf, "books"), "book_id", "ingested_at").select("book_id", (F.col("body_end_line") - F.col("body_start_line")).alias("body"))
     lines = c.groupBy("book_id").agg(F.max("end_line").alias("ends")).join(body, "book_id", "left").select("book_id", F.coalesce("body", "ends").alias("line_count"))
